@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, resharding, url_filter
+from . import chat, exact_dedup, resharding, secrets, url_filter
 from .common import documents
 
 
@@ -109,14 +109,49 @@ select page_id, host, path, rule,
 from r
 """
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secrets.written(F.col("base")).cast("binary"), 256).alias("base_sha256"), secrets.written(F.concat("base", "added")).alias("spans"),
+    )
+
+
+def _sql_matches(name: str, pattern: str, group: int = 0) -> str:
+    """CTE of (doc_id, row, start, end, value): pieces between matches and matches alternate."""
+    p = pattern.replace("'", "''")
+    return f"""{name}_m as (select r, doc_id, string_split_regex(text, '{p}') as g, regexp_extract_all(text, '{p}') as w, regexp_extract_all(text, '{p}', {group}) as v from d where regexp_matches(text, '{p}')),
+{name}_l as (select r, doc_id, len(g[i]) as gap, len(w[i]) as wide, v[i] as value, i from (select *, unnest(range(1, len(w) + 1)) as i from {name}_m)),
+{name} as (select r, doc_id, (sum(gap + wide) over (partition by r order by i) - wide)::bigint as s, (sum(gap + wide) over (partition by r order by i))::bigint as e, value from {name}_l)"""
+
+
+_SQL_ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_SQL_CLASS = "case " + " ".join(f"when regexp_matches(value, '{p}') then {least}" for _, p, least in secrets.CLASSES) + " end"
+_OP9_SQL = f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+{_sql_matches("a", _SQL_ASSIGN, 1)},
+{_sql_matches("k", secrets.ACCESS)},
+{_sql_matches("h", secrets.HEX)},
+{_sql_matches("c", secrets.CANDIDATE)},
+base as (select r, s, e, 0 as kind from a where len(value) >= 12 union all select r, s, e, 1 from k union all select r, s, e, 2 from h),
+rest as (select c.*, {_SQL_CLASS} as least from c where not exists (select 1 from base b where b.r = c.r and b.s < c.e and c.s < b.e) and not regexp_matches(value, '{"|".join(f"(?:{p})" for p in secrets.ALLOWED)}')),
+added as (select r, s, e, 3 as kind from rest where least < 99 and list_max(list_transform(range(1, len(value) - {secrets.WINDOW} + 2), lambda i: list_entropy(string_split(substr(value, i, {secrets.WINDOW}), '')))) >= least),
+spans as (select *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e as w from (select * from base union all select * from added)),
+g as (select r, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex, coalesce(string_agg(w, ',' order by s, kind) filter (kind < 3), '') as b, string_agg(w, ',' order by s, kind) as spans from spans group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(b, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join g using (r)
+"""
+
 QUERIES = {
     "op5_resharding": op5_resharding,
     "op6_chat_format": op6_chat_format,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE_SQL = {
     "op6_chat_format": _OP6_SQL,
     "op8_exact_dedup": _OP8_SQL,
+    "op9_secret_scan": _OP9_SQL,
     "op10_url_filter": _OP10_SQL,
 }
