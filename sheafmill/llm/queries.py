@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from . import bpe, chat, exact_dedup, resharding, secrets, url_filter
+from . import bpe, chat, exact_dedup, lang_id, resharding, secrets, url_filter
 from .common import documents, pieces
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on the labelled documents that are not held out; every whole text is predicted."""
+    docs = documents(spark, sf_dir)
+    return lang_id.predict(docs, lang_id.train(docs))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Every text encoded by the public 50k byte-level ranks, and its ids decoded again."""
     return bpe_digests(documents(spark, sf_dir), path)
@@ -173,6 +179,7 @@ from d left join g using (r)
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
     "op5_resharding": op5_resharding,
     "op6_chat_format": op6_chat_format,
