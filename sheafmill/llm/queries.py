@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from . import bpe, chat, exact_dedup, lang_id, resharding, secrets, url_filter
+from . import bpe, chat, exact_dedup, lang_id, minhash, resharding, secrets, url_filter
 from .common import documents, pieces
 
 
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, lang_id.train(docs))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a similarity of 0.8 or more."""
+    return minhash.near_duplicates(documents(spark, sf_dir), width=4, threshold=80)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Every text encoded by the public 50k byte-level ranks, and its ids decoded again."""
     return bpe_digests(documents(spark, sf_dir), path)
@@ -180,6 +185,7 @@ from d left join g using (r)
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_bpe": op3_bpe,
     "op5_resharding": op5_resharding,
     "op6_chat_format": op6_chat_format,
