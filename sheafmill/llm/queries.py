@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from . import bpe, chat, exact_dedup, lang_id, minhash, resharding, secrets, url_filter
+from . import bpe, chat, exact_dedup, lang_id, minhash, resharding, secrets, suffix_dedup, url_filter
 from .common import documents, pieces
 
 
@@ -92,6 +92,12 @@ from s group by conv_id
 """
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 50-byte strings of documents with smaller ids are removed."""
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir), length=50)
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.duplicates(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -189,6 +195,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op5_resharding": op5_resharding,
     "op6_chat_format": op6_chat_format,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filter": op10_url_filter,
