@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from . import bpe, chat, exact_dedup, lang_id, minhash, resharding, secrets, suffix_dedup, url_filter
+from . import bpe, chat, decontaminate, exact_dedup, lang_id, minhash, resharding, secrets, suffix_dedup, url_filter
 from .common import documents, pieces
 
 
@@ -50,6 +50,15 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     return tokens.mapInArrow(digests, f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, with the benchmark items that one of its passages holds."""
+    found = decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
+    return found.select(
+        "doc_id", (F.size("hits") > 0).alias("contaminated"), F.size(ids).cast("long").alias("n_items"), F.array_join(ids.cast("array<string>"), ",").alias("item_ids"), F.coalesce(F.round(F.array_max(F.transform("hits", lambda h: h["score"])), 6), F.lit(0.0)).alias("best_score"),
+    )
+
+
 def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 shards of even bytes out of the input files; the rows are read back from the new shards."""
     path, _ = resharding.rewrite(documents(spark, sf_dir), 40)
@@ -193,6 +202,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_bpe": op3_bpe,
+    "op4_decontamination": op4_decontamination,
     "op5_resharding": op5_resharding,
     "op6_chat_format": op6_chat_format,
     "op7_suffix_dedup": op7_suffix_dedup,
