@@ -3,9 +3,9 @@
 Passages are windows of words, twice as long as the longest item and half overlapping, so an
 item that occurs lies within one. An item's impacts are divided by its score against itself, so a
 score is the share of the item, by weight, that a passage has. Block-max WAND returns every item
-above ``threshold``: lists are skipped by their largest impacts, then by those of their blocks. A
-passage whose words' largest impacts don't add up to the threshold can't match anything and isn't
-asked; that is the bound that WAND would stop at, taken for all passages at once.
+above ``threshold``: lists are skipped by their largest impacts, then by those of their blocks. The
+coarsest skip is made for all passages of a batch at once: the maxima of small ranges of items are
+added up, and a passage only asks the ranges that may reach the threshold, of the terms in them.
 
 What is retrieved is verified: of the item's question (all sentences but the last; of a single
 sentence the first two thirds) and of its answer (the rest), a share ``overlap`` of the word
@@ -24,6 +24,7 @@ otherwise.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 K1, B = 1.2, 0.75
-#: Postings of a block.
-BLOCK = 64
+#: Postings of a block; and items of a range whose maxima are added up for all passages at once.
+BLOCK, RANGE = 64, 1
 _word = re.compile(r"\w+").findall
 _sentence = re.compile(r"(?<=[.!?])\s+")
 
@@ -98,16 +99,31 @@ class Index:
         self.blocks = [[max(x[k : k + BLOCK]) for k in range(0, len(x), BLOCK)] for x in self.impacts]
         #: The largest impact of each term; the last is that of a word that isn't in the index.
         self.most = np.array([max(x) for x in self.impacts] + [0.0])
+        # Maxima by range of items, as rows (term, range); a term of very many ranges counts with its maximum in each.
+        self.ranges = max(1, -(-len(self.ids) // RANGE))
+        cells = [{} for _ in self.items]
+        for cell, own, impact in zip(cells, self.items, self.impacts, strict=True):
+            for item, x in zip(own, impact, strict=True):
+                cell[item // RANGE] = max(cell.get(item // RANGE, 0.0), x)
+        self.dense = np.array([len(c) > max(2, self.ranges // 4) for c in cells] + [False], bool)
+        rows = [() if d else sorted(c.items()) for c, d in zip(cells, self.dense, strict=False)]
+        self.at = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
+        self.range_of = np.array([k for r in rows for k, _ in r], np.int64)
+        self.range_most = np.array([x for r in rows for _, x in r], np.float64)
 
     def term_ids(self, tokens: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, tokens, repeat(-1)), np.int64, len(tokens))
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All items of a score of ``threshold`` or more for distinct terms, by block-max WAND."""
+    def search(self, terms: list[int], threshold: float, begin: int = 0, end: int | None = None) -> list[tuple[int, float]]:
+        """All items (from ``begin`` to ``end``) of a score of ``threshold`` or more for distinct terms, by block-max WAND."""
         out: list[tuple[int, float]] = []
+        end = len(self.ids) if end is None else end
         # A cursor: [present item, term, place in its list]
-        cursors = [[self.items[t][0], t, 0] for t in terms]
-        end = len(self.ids)
+        cursors = []
+        for t in terms:
+            place = bisect_left(self.items[t], begin) if begin else 0
+            if place < len(self.items[t]):
+                cursors.append([self.items[t][place], t, place])
         slack = 1e-9
 
         def advance(cursor: list[int], item: int) -> None:
@@ -166,32 +182,63 @@ class Index:
                     advance(cursor, stop)
         return out
 
-    def passages(self, text: str | None, threshold: float) -> Iterator[tuple[int, list[str], list[int]]]:
-        """(first word, words, distinct terms) of the passages that may reach the threshold."""
-        tokens = words(text)
-        if not tokens or not self.ids:
+    def passages(self, texts: list[str | None], threshold: float) -> Iterator[tuple[int, int, list[str], list[int], int]]:
+        """(text, first word, words, terms, range) of the passages and ranges of items that may reach the threshold."""
+        if not self.ids:
             return
-        ids = self.term_ids(tokens)
-        gain = np.concatenate([[0.0], np.cumsum(self.most[ids])])
-        starts = np.arange(0, len(tokens), self.longest)
-        ends = np.minimum(starts + 2 * self.longest, len(tokens))
-        for k in np.flatnonzero(gain[ends] - gain[starts] >= threshold - 1e-6).tolist():
-            a, b = int(starts[k]), int(ends[k])
-            found = np.unique(ids[a:b])
-            found = found[found >= 0]
-            if self.most[found].sum() >= threshold - 1e-6:
-                yield a, tokens[a:b], found.tolist()
-
-    def hits(self, text: str | None, threshold: float, overlap: float) -> list[dict]:
-        """Verified items of a text, each once, by its best passage."""
-        best: dict[int, dict] = {}
-        for start, passage, terms in self.passages(text, threshold):
-            for item, score in self.search(terms, threshold):
+        tokens = [words(t) for t in texts]
+        step, n_terms = self.longest, len(self.most)
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        ids = np.concatenate([self.term_ids(t) for t in tokens]) if len(tokens) else np.zeros(0, np.int64)
+        begin = np.cumsum(sizes) - sizes
+        counts = -(-sizes // step)  # passages of each text; the k-th begins at word k * step
+        first = np.cumsum(counts) - counts
+        n = int(counts.sum())
+        text = np.repeat(np.arange(len(tokens)), sizes)
+        passage = first[text] + (np.arange(len(ids)) - begin[text]) // step
+        known = ids >= 0
+        ids, passage, text = ids[known], passage[known], text[known]
+        # A word is in the passage that begins before it and in the one before that.
+        back = passage > first[text]
+        pairs = np.unique(np.concatenate([passage, passage[back] - 1]) * n_terms + np.concatenate([ids, ids[back]]))
+        passage, term = pairs // n_terms, pairs % n_terms
+        wide = self.dense[term]
+        common, common_at = term[wide], np.searchsorted(passage[wide], np.arange(n + 1))
+        bonus = np.bincount(passage[wide], weights=self.most[common], minlength=n)
+        which, rare = passage[~wide], term[~wide]
+        low, many = self.at[rare], self.at[rare + 1] - self.at[rare]
+        row = np.repeat(low, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        cell = np.repeat(which, many) * self.ranges + self.range_of[row]
+        order = np.argsort(cell)
+        cell, row_term = cell[order], np.repeat(rare, many)[order]
+        heads = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        bound = np.add.reduceat(self.range_most[row[order]], heads) if len(cell) else np.zeros(0)
+        stops = np.r_[heads[1:], len(cell)]
+        # A passage of common words alone could only match by them.
+        for k in np.flatnonzero(bonus >= threshold - 1e-6).tolist():
+            t = int(np.searchsorted(first, k, "right")) - 1
+            start = (k - int(first[t])) * step
+            near = slice(*np.searchsorted(which, [k, k + 1]).tolist())
+            for r in range(self.ranges):
+                yield t, start, tokens[t][start : start + 2 * step], [*common[common_at[k] : common_at[k + 1]].tolist(), *rare[near].tolist()], r
+        passes = (bound + bonus[cell[heads] // self.ranges] >= threshold - 1e-6) & (bonus[cell[heads] // self.ranges] < threshold - 1e-6)
+        for h in np.flatnonzero(passes).tolist():
+            k, r = divmod(int(cell[heads[h]]), self.ranges)
+            t = int(np.searchsorted(first, k, "right")) - 1
+            start = (k - int(first[t])) * step
+            terms = [*row_term[heads[h] : stops[h]].tolist(), *common[common_at[k] : common_at[k + 1]].tolist()]
+            yield t, start, tokens[t][start : start + 2 * step], terms, r
+
+    def hits(self, texts: list[str | None], threshold: float, overlap: float) -> list[list[dict]]:
+        """Verified items of each text, each once, by its best passage."""
+        best: list[dict[int, dict]] = [{} for _ in texts]
+        for t, start, passage, terms, r in self.passages(texts, threshold):
+            for item, score in self.search(terms, threshold, r * RANGE, min((r + 1) * RANGE, len(self.ids))):
                 question, answer = self.parts[item]
                 q, a = share_in(question, passage), share_in(answer, passage)
-                if q >= overlap and a >= overlap and (item not in best or score > best[item]["score"]):
-                    best[item] = {"item_id": self.ids[item], "passage": start, "score": score, "question": q, "answer": a}
-        return [best[i] for i in sorted(best)]
+                if q >= overlap and a >= overlap and (item not in best[t] or score > best[t][item]["score"]):
+                    best[t][item] = {"item_id": self.ids[item], "passage": start, "score": score, "question": q, "answer": a}
+        return [[b[i] for i in sorted(b)] for b in best]
 
 
 def indexes(benchmark: DataFrame, block_items: int = 50_000) -> list[Index]:
@@ -216,9 +263,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for start in range(0, whole.num_rows, 256):
-                    batch = whole.slice(start, 256)
-                    found = [(old or []) + held.value.hits(t, threshold, overlap) for t, old in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+                for start in range(0, whole.num_rows, 128):
+                    batch = whole.slice(start, 128)
+                    hits = held.value.hits(batch.column(1).to_pylist(), threshold, overlap)
+                    found = [(old or []) + new for old, new in zip(batch.column(2).to_pylist(), hits, strict=True)]
                     yield pa.record_batch([batch.column(0).cast(schema.field(0).type), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(_HIT))], schema=schema)
 
         out = out.mapInArrow(run, f"doc_id {kind.simpleString()}, text string, hits {_HITS}")
@@ -233,9 +281,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, ov
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for start in range(0, whole.num_rows, 256):
-                    batch = whole.slice(start, 256)
-                    yield batch.filter(pa.array([not held.value.hits(t, threshold, overlap) for t in batch.column(place).to_pylist()], pa.bool_()))
+                for start in range(0, whole.num_rows, 128):
+                    batch = whole.slice(start, 128)
+                    yield batch.filter(pa.array([not found for found in held.value.hits(batch.column(place).to_pylist(), threshold, overlap)], pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
     return out
