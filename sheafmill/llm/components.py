@@ -1,8 +1,8 @@
 """Connected components of a link table by alternating large-star and small-star steps.
 
-Every step is joins and aggregates on the links; nothing is collected but two numbers for each
-round, which say whether anything changed. A node with very many links is aggregated before it
-is shuffled, and its join is one that adaptive execution can split.
+Every step is joins and aggregates on the links; nothing is collected but three numbers for each
+round. A node with very many links is aggregated before it is shuffled, and its join is one that
+adaptive execution can split. Rounds on few links run in few tasks.
 """
 
 from __future__ import annotations
@@ -12,27 +12,41 @@ from pyspark.sql import functions as F
 
 from .common import frozen
 
+#: Rows of a task, for tables whose size is known.
+TASK_ROWS = 200_000
 
-def _stars(edges: DataFrame) -> DataFrame:
+
+def in_tasks(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """``df`` of about so many rows in as few tasks as that needs."""
+    return df.coalesce(max(8, -(-rows // each)))
+
+
+def _stars(edges: DataFrame, n: int) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").distinct()
+    least = in_tasks(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), n)
+    large = in_tasks(in_tasks(both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b"), n).distinct(), n)
     # Now a < b: each b links its smaller neighbours to the smallest of them.
-    least = large.groupBy("b").agg(F.min("a").alias("m"))
-    joined = large.join(least, "b")
-    return joined.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(least.select(F.col("m").alias("a"), "b")).distinct()
+    least = in_tasks(large.groupBy("b").agg(F.min("a").alias("m")), n)
+    joined = in_tasks(large.join(least, "b"), n)
+    return in_tasks(joined.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(least.select(F.col("m").alias("a"), "b")).distinct(), n)
+
+
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """How many links there are, and how many nodes are not yet the root or a leaf of one star."""
+    n = edges.count()
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    odd = in_tasks(ends.groupBy("node").agg(F.max("up").alias("up"), F.sum("down").alias("down")), n).where("up + down > 1")
+    return n, odd.count()
 
 
 def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, component) for each node of the links (a, b); a component is named by its smallest node."""
-    edges = frozen(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    state = None
+    edges = frozen(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().coalesce(8 * max(1, links.rdd.getNumPartitions() // 64)), "links")
     for _ in range(max_rounds):
-        now = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b") % (1 << 31)), F.lit(0))).first()
-        if now == state or now[0] == 0:
+        n, odd = _state(edges)
+        if not odd:
             break
-        state = now
-        edges = frozen(_stars(edges), "stars")
+        edges = frozen(_stars(edges, n), "stars")
     else:
         raise RuntimeError("the components did not settle")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

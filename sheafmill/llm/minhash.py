@@ -8,12 +8,12 @@ probability that two documents' similarity reaches the threshold follows from th
 and a pair is pruned once it is below ``MISS``. The survivors are verified on their whole shingle
 sets, read from the texts. Links give components.
 
-A bucket's pairs are never all written out. First each bucket's members meet one pivot, a
-different one by band; what that links is contracted. Only buckets that still hold more than one
-component are looked at again: pairs of different components are compared inside the task by
-their signatures, in blocks of bounded size (a large bucket's blocks are dealt to tasks in pairs),
-and the few best pairs of each two components are verified; last, every surviving pair that still
-joins two components is. So no link between components is lost, whatever a bucket's size.
+A bucket's pairs are never all written out. First each bucket's members meet one pivot, the
+first in one of ten orders, by band; what that links is contracted. Only buckets that still hold
+more than one component are looked at again: pairs of different components that signatures don't
+prune are compared by all their shingles inside the task, in blocks of bounded size (a large
+bucket's blocks are dealt to tasks in pairs), and only links leave it. So none is lost, whatever a
+bucket's size.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with nothing; a
 text of fewer words than a shingle is one shingle; a null id is linked with nothing and is kept;
@@ -29,12 +29,12 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import frozen, mix64, null_safe, text_buffer
-from .components import components
+from .components import components, in_tasks
 
 #: 40 bands of 5 values: two documents of similarity 0.8 share no bucket with probability 1.3e-7.
 BANDS, ROWS = 40, 5
@@ -43,6 +43,8 @@ HASHES = BANDS * ROWS
 MISS = 1e-8
 #: Signature values compared at a time, and members of a bucket that are compared in one block.
 BATCH, BLOCK = 20, 512
+#: Pairs to verify, and members of buckets to compare, of a task.
+TASK_PAIRS, TASK_MEMBERS = 2000, 4000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPAN = 1 << 18
@@ -231,8 +233,12 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _compare_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, threshold: int, best: int | None):
-    """Pairs of different components in a pair of a bucket's blocks that are not pruned; only the ``best`` of each two components, or all."""
+def _link_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, threshold: int, width: int):
+    """Links between different components in a pair of a bucket's blocks.
+
+    Pairs that signatures don't prune are compared by the hashes of all their shingles. What a
+    link joins is one component from then on, so its other pairs needn't be looked at.
+    """
     schema = pa.schema([("a", id_type), ("b", id_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,24 +247,38 @@ def _compare_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, thresho
             teams = np.unique(group.column("component").to_numpy(zero_copy_only=False), return_inverse=True)[1].ravel()
             block, sizes = group.column("block").to_numpy(), group.column("n_shingles").to_numpy()
             marks = _rows_of(group.column("signature"))
+            bands = group.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+            band = group.column("band")[0].as_py()
+            raw, at = text_buffer(group.column("text"), fold=True)
             first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()
-            taken: dict[tuple[int, int], int] = {}
-            found: list[tuple[int, int, int]] = []
-            for i in np.flatnonzero(block == first):
+            sets: dict[int, np.ndarray] = {}
+
+            def shingles(i: int, raw=raw, at=at, sets=sets) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = shingle_hashes(raw[at[i] : at[i + 1]], width)
+                return sets[i]
+
+            pairs = []
+            for i in np.flatnonzero(block == first).tolist():
                 others = np.flatnonzero((block == second) & (teams != teams[i]))
                 others = others[others > i] if first == second else others
                 small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
                 others = others[100 * small >= threshold * large]
-                if len(others):
-                    alive, matches = surviving(np.broadcast_to(marks[i], (len(others), HASHES)), marks[others], floors)
-                    found += [(-int(m), int(i), int(others[j])) for j, m in zip(alive, matches, strict=True)]
-            found.sort()
-            pairs = []
-            for _, i, j in found:
-                team = (min(teams[i], teams[j]), max(teams[i], teams[j]))
-                if best is None or taken.get(team, 0) < best:
-                    taken[team] = taken.get(team, 0) + 1
-                    pairs.append((min(names[i], names[j]), max(names[i], names[j])))
+                # A pair that shares several buckets is that of its first one.
+                others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
+                alive, _ = surviving(np.broadcast_to(marks[i], (len(others), HASHES)), marks[others], floors)
+                others = others[alive]
+                if not len(others):
+                    continue
+                own = shingles(i)
+                each = [shingles(j) for j in others.tolist()]
+                flat, starts = np.concatenate(each), np.cumsum([0, *map(len, each)])[:-1]
+                both = np.add.reduceat(own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat, starts, dtype=np.int64)
+                counts = np.array([len(e) for e in each])
+                for j in others[100 * both >= threshold * (len(own) + counts - both)].tolist():
+                    if teams[j] != teams[i]:
+                        teams[teams == teams[j]] = teams[i]
+                        pairs.append((min(names[i], names[j]), max(names[i], names[j])))
             if pairs:
                 yield pa.record_batch([pa.array([a for a, _ in pairs], id_type), pa.array([b for _, b in pairs], id_type)], schema=schema)
 
@@ -266,21 +286,20 @@ def _compare_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, thresho
 
 
 def _verify(kind: str, id_type: pa.DataType, width: int, threshold: int):
-    """Rows sorted by (a, salt), the text of ``a`` first (b null), then those of its partners."""
+    """Pairs with both texts; those whose whole shingle sets are similar enough. Equal neighbours are read once."""
     schema = pa.schema([("a", id_type), ("b", id_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own = None, set()
+        last, own = None, set()
         for batch in batches:
             links = []
-            for a, salt, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if b is None:
-                    current, own = (a, salt), shingle_set(text or "", width)
-                elif (a, salt) == current:
-                    other = shingle_set(text or "", width)
-                    both = len(own & other)
-                    if both and 100 * both >= threshold * (len(own) + len(other) - both):
-                        links.append((a, b))
+            for a, b, first, second in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if first != last:
+                    last, own = first, shingle_set(first or "", width)
+                other = shingle_set(second or "", width)
+                both = len(own & other)
+                if both and 100 * both >= threshold * (len(own) + len(other) - both):
+                    links.append((a, b))
             if links:
                 yield pa.record_batch([pa.array([a for a, _ in links], id_type), pa.array([b for _, b in links], id_type)], schema=schema)
 
@@ -300,47 +319,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = frozen(usable.groupBy("set_key").agg(F.min("doc_id").alias("representative")), "classes")
     heads = usable.join(classes.select("set_key", F.col("representative").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
-    heads = frozen(heads.select("doc_id", "n_shingles", "signature", "bands").dropDuplicates(["doc_id"]) if _repeats(usable) else heads.select("doc_id", "n_shingles", "signature", "bands"), "heads")
+    heads = frozen(heads.select("doc_id", "n_shingles", "signature", "bands"), "heads")
 
     # Buckets of two or more, and the pivot of each.
     members = heads.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    buckets = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct(F.xxhash64("doc_id", "band").alias("h"), "doc_id")).alias("pivot")).where("members > 1").select("band", "key", "members", F.col("pivot.doc_id").alias("pivot"))
+    buckets = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct(F.xxhash64("doc_id", F.col("band") % 10).alias("h"), "doc_id")).alias("pivot")).where("members > 1").select("band", "key", "members", F.col("pivot.doc_id").alias("pivot"))
     members = frozen(members.join(buckets, ["band", "key"]), "buckets")
     marks = heads.select("doc_id", "n_shingles", "signature")
     texts = frozen(null_safe(slim, members.select("doc_id").distinct(), ["doc_id"], "left_semi"), "texts")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        salted = pairs.withColumn("salt", F.floor((F.row_number().over(Window.partitionBy("a", F.pmod(F.xxhash64("b"), F.lit(64))).orderBy("b")) - 1) / 64).cast("int") * 64 + F.pmod(F.xxhash64("b"), F.lit(64)).cast("int"))
-        salted = frozen(salted, "pairs")
-        theirs = salted.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "salt", "b", "text")
-        own = salted.select("a", "salt").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "salt", F.lit(None).cast(kind).alias("b"), "text")
-        run, schema = _verify(name, id_type, width, threshold)
-        return frozen(theirs.unionByName(own).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(run, schema), "verified")
+    run_verify, links_as = _verify(name, id_type, width, threshold)
+
+    def verified(pairs: DataFrame, n: int) -> DataFrame:
+        """A document with very many partners is a skewed key, which adaptive execution splits."""
+        theirs = in_tasks(pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("second")), "b"), n, TASK_PAIRS)
+        both = in_tasks(theirs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("first")), "a"), n, TASK_PAIRS)
+        return frozen(both.select("a", "b", "first", "second").mapInArrow(run_verify, links_as), "verified")
 
     run, schema = _prune(name, id_type, floors)
     pairs = members.where("doc_id <> pivot").select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
     pairs = pairs.join(marks.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa")), "a").join(marks.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb")), "b")
-    pairs = pairs.where(f"100 * least(na, nb) >= {threshold} * greatest(na, nb)").select("a", "b", "sa", "sb").mapInArrow(run, schema)
-    links = verified(pairs)
-    tested = None
+    pairs = frozen(pairs.where(f"100 * least(na, nb) >= {threshold} * greatest(na, nb)").select("a", "b", "sa", "sb").mapInArrow(run, schema), "pairs")
+    links = verified(pairs, pairs.count())
     found = frozen(components(links), "components")
 
-    for best in (4, None):
-        labelled = members.where("members > 2").select("band", "key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        labelled = frozen(labelled, "labelled")
-        mixed = labelled.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-        rest = labelled.join(mixed, ["band", "key"]).join(marks, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), "blocks").cast("int"))
-        dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "doc_id", "component", "block", "n_shingles", "signature")
-        run, schema = _compare_blocks(name, id_type, floors, threshold, best)
-        more = dealt.repartition("band", "key", "first", "second").sortWithinPartitions("band", "key", "first", "second").mapInArrow(run, schema).distinct()
-        if tested is not None:
-            more = more.join(tested, ["a", "b"], "left_anti")
-        more = frozen(more, "more")
-        if more.isEmpty():
-            break
-        tested = more if tested is None else tested.union(more)
-        links = links.union(verified(more))
-        found = frozen(components(links), "components")
+    # Buckets that still hold several components: all pairs that may join two are compared in their blocks.
+    larger = members.where("members > 2").select("band", "key", "doc_id")
+    labelled = frozen(larger.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "labelled")
+    mixed = labelled.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    rest = frozen(labelled.join(mixed, ["band", "key"]), "mixed")
+    n = rest.count()
+    if n:
+        blocked = rest.join(heads, "doc_id").join(texts, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), "blocks").cast("int"))
+        dealt = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "doc_id", "component", "block", "n_shingles", "signature", "bands", "text")
+        run, schema = _link_blocks(name, id_type, floors, threshold, width)
+        sorted_blocks = dealt.repartition("band", "key", "first", "second").sortWithinPartitions("band", "key", "first", "second")
+        more = frozen(in_tasks(sorted_blocks, n, TASK_MEMBERS).mapInArrow(run, schema), "more")
+        if not more.isEmpty():
+            found = frozen(components(links.union(verified(more.distinct(), n))), "components")
 
     by_set = classes.join(found, classes["representative"] == found["node"], "left").select("set_key", F.coalesce("component", "representative").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key", "left")
@@ -348,11 +364,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _repeats(rows: DataFrame) -> bool:
-    """Whether an id occurs twice."""
-    return not rows.groupBy("doc_id").count().where("count > 1").isEmpty()
-
-
 def deduplicate(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the smallest id of each component only, all columns as they were."""
     found = frozen(near_duplicates(docs, width, threshold, id_col, text_col), "near")
