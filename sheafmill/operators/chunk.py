@@ -6,16 +6,16 @@ unit over from one chunk to the next and folds one section's units in Python, a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from math import ceil
-import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import tables as tab
+from .folds import fold_groups
 
 #: The input window of a model, by a part of its name; others have the last.
 WINDOWS = {"all-minilm-l6-v2": 256, "all-minilm-l12-v2": 256, "bge-small-en-v1.5": 512, "bge-base-en-v1.5": 512, "bge-large-en-v1.5": 512, "e5-small-v2": 512, "e5-base-v2": 512}
@@ -46,15 +46,23 @@ def pack(costs: Column, limit: Column) -> Column:
     return F.aggregate(costs, start, step, lambda s: s["groups"])
 
 
-def balanced(costs: Column, limit: Column) -> Column:
-    """Like :func:`pack`, evened out: the smallest of four even limits that needs no more groups."""
-    plain = pack(costs, limit)
-    groups = F.element_at(plain, -1) + 1
+def balanced(rows: DataFrame, costs: str, limit: Column, name: str) -> DataFrame:
+    """Adds ``name``: groups as of :func:`pack`, evened out by the smallest of four even limits that needs no more groups.
+
+    Each step is a column of its own, so that none is worked out twice.
+    """
+    out = rows.withColumn("__plain", pack(F.col(costs), limit)).withColumn("__groups", F.size(F.array_distinct("__plain")))
     total = F.aggregate(costs, F.lit(0).cast("bigint"), lambda s, c: s + c.cast("bigint"))
-    base = F.ceil(total / groups)
-    tries = [pack(costs, F.least(limit.cast("bigint"), base + F.floor(F.lit(x) * F.array_max(costs)).cast("bigint"))) for x in (0.25, 0.5, 0.75, 1.0)]
-    fits = F.filter(F.array(*tries), lambda t: F.element_at(t, -1) + 1 <= groups)
-    return F.when(F.size(costs) == 0, F.array().cast("array<int>")).when(groups <= 1, plain).otherwise(F.coalesce(F.get(fits, F.lit(0)), plain))
+    out = out.withColumn("__base", F.when(F.col("__groups") > 1, F.ceil(total / F.col("__groups"))))
+    even = lambda x: F.least(limit.cast("bigint"), F.col("__base") + F.floor(F.lit(x) * F.array_max(costs)).cast("bigint"))
+    shares = (0.25, 0.5, 0.75, 1.0)
+    for k, x in enumerate(shares):
+        found = F.lit(False) if k == 0 else F.col(f"__done{k - 1}")
+        out = out.withColumn(f"__try{k}", F.when((F.col("__groups") > 1) & ~found, pack(F.col(costs), even(x))))
+        out = out.withColumn(f"__done{k}", found | F.coalesce(F.size(F.array_distinct(f"__try{k}")) <= F.col("__groups"), F.lit(False)))
+    fits = [F.when(F.size(F.array_distinct(f"__try{k}")) <= F.col("__groups"), F.col(f"__try{k}")) for k in range(len(shares))]
+    helpers = ["__plain", "__groups", "__base", *[f"__{n}{k}" for n in ("try", "done") for k in range(len(shares))]]
+    return out.withColumn(name, F.coalesce(*fits, "__plain")).drop(*helpers)
 
 
 def chunk_tables(tables: DataFrame, budget: int, cost: Callable[[Column], Column] = T.token_cost) -> DataFrame:
@@ -72,7 +80,7 @@ def chunk_tables(tables: DataFrame, budget: int, cost: Callable[[Column], Column
     # A run of rows that fit ends at a row that doesn't.
     lines = lines.withColumn("run", F.sum(big.cast("int")).over(order))
     runs = lines.where(~big).groupBy("doc_id", "table_id", "header", "room", "run").agg(F.array_sort(F.collect_list(F.struct("no", "line", "cost"))).alias("items"))
-    packed = runs.withColumn("groups", balanced(F.transform("items", lambda x: x["cost"]), F.col("room")))
+    packed = balanced(runs.withColumn("row_costs", F.transform("items", lambda x: x["cost"])), "row_costs", F.col("room"), "groups")
     rows = packed.select("doc_id", "table_id", "header", "run", F.explode(F.arrays_zip("items", "groups")).alias("x")).select("doc_id", "table_id", "header", "run", F.col("x.groups").alias("group"), F.col("x.items.no").alias("no"), F.col("x.items.line").alias("line"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "line"))), lambda x: x["line"]), "\n")
     whole = rows.groupBy("doc_id", "table_id", "header", "run", "group").agg(F.min("no").alias("first"), F.max("no").alias("last"), body.alias("body"))
@@ -206,15 +214,14 @@ def chunk_texts(elements: DataFrame, budget: int, cost: Callable[[str], int] = w
     """Chunks of text elements (with group_no); one group, a section of one document, is folded at a time."""
     schema = "doc_id string, group_no bigint, part int, element_no int, section string, element_type string, file_type string, sheet_name string, page int, pages array<int>, has_heading boolean, text string"
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        rows = [{k: None if v is None or isinstance(v, float) and pd.isna(v) else v for k, v in r.items()} for r in group.sort_values("element_no").to_dict("records")]
+    def fold(rows: list[dict]) -> list[dict]:
         for r in rows:
-            r["pages"] = [int(p) for p in (r["pages"] if r["pages"] is not None else [r["page"] or 1])]
-        head = {k: rows[0][k] for k in ("doc_id", "group_no", "element_no", "section", "element_type", "file_type", "sheet_name")}
-        return pd.DataFrame([head | c | {"part": i, "page": c["pages"][0] if c["pages"] else 1} for i, c in enumerate(_Section(rows, budget, cost).chunks())], columns=[c.split()[0] for c in schema.split(", ")])
+            r["pages"] = r["pages"] or [r["page"] or 1]
+        head = {k: rows[0][k] for k in ("element_no", "section", "element_type", "file_type", "sheet_name")}
+        return [head | c | {"part": i, "page": c["pages"][0] if c["pages"] else 1} for i, c in enumerate(_Section(rows, budget, cost).chunks())]
 
     slim = elements.select("doc_id", F.col("group_no").cast("bigint").alias("group_no"), "element_no", "section", "element_type", "file_type", "sheet_name", "page", "pages", "is_heading", "text")
-    return slim.groupBy("doc_id", "group_no").applyInPandas(fold, schema)
+    return fold_groups(slim, ["doc_id", "group_no"], ["element_no"], schema, fold)
 
 
 def chunk_elements(elements: DataFrame, budget: int) -> DataFrame:

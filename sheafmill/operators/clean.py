@@ -11,13 +11,14 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
 
 SPREADSHEETS = ("xlsx", "xlsm")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode compatibility composition; there is no built-in for it."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import statistics
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .folds import fold_groups
+
 
 def islands(cells: DataFrame, by: list[str], place: str, name: str) -> DataFrame:
     """Adds ``name``: the number of the band of neighbouring places (from 1), within ``by``.
@@ -123,13 +124,7 @@ def reading_order(items: DataFrame, name: str = "place") -> DataFrame:
 
 
 def _by_page(rows: DataFrame, schema: str, fold: Callable[[list[dict]], list[dict]]) -> DataFrame:
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        key = {"doc_id": group["doc_id"].iloc[0], "page": group["page"].iloc[0]}
-        return pd.DataFrame([key | r for r in fold(group.to_dict("records"))], columns=names)
-
-    return rows.groupBy("doc_id", "page").applyInPandas(run, schema)
+    return fold_groups(rows, ["doc_id", "page"], [], schema, fold)
 
 
 def words_to_lines(words: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import MASTER, NUMBERS
+from .folds import fold_groups
 
 # The header names that stand for each field, in order of preference.
 MASTER_ALIASES = {
@@ -285,11 +286,10 @@ def stitch(tables: DataFrame) -> DataFrame:
     schema = tables.withColumns({"merged_parts": F.lit(1), "part_titles": F.array().cast("array<string>")}).schema
     plain = tables.where("kind <> 'body'").withColumns({"merged_parts": F.lit(1), "part_titles": F.array().cast("array<string>")})
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
+    def fold(group: list[dict]) -> list[dict]:
         done: list[dict] = []
-        for new in group.sort_values("element_no").to_dict("records"):
-            new = {k: None if isinstance(v, float) and pd.isna(v) else v for k, v in new.items()}
-            new |= {"rows": [list(r) for r in new["rows"]], "pages": list(new["pages"]), "columns": list(new["columns"]), "names": list(new["names"]), "merged_parts": 1, "part_titles": []}
+        for new in group:
+            new |= {"merged_parts": 1, "part_titles": []}
             for side in ("x0", "x1", "top", "bottom", "page_height"):
                 new[side] = new[side] or 0.0
             last = done[-1] if done else None
@@ -304,8 +304,8 @@ def stitch(tables: DataFrame) -> DataFrame:
             last["merged_parts"] += 1
             if new["title"] or new["heading"]:
                 last["part_titles"].append(new["title"] or new["heading"])
-        return pd.DataFrame(done)[schema.names]
+        return [{k: v for k, v in t.items() if k != "names"} for t in done]
 
     body = tables.where("kind = 'body'").withColumn("names", F.transform("columns", T.norm_name))
-    stitched = body.groupBy("doc_id").applyInPandas(fold, schema)
+    stitched = fold_groups(body, ["doc_id"], ["element_no"], schema, fold)
     return stitched.unionByName(plain)

@@ -316,7 +316,7 @@ def greedy_pack(spark, sf_dir):
 
 @query()
 def balanced_pack(spark, sf_dir):
-    packed = _line_costs(spark, sf_dir).withColumn("groups", chunk.balanced(F.col("costs"), F.lit(400)))
+    packed = chunk.balanced(_line_costs(spark, sf_dir), "costs", F.lit(400), "groups")
     rows = packed.select("doc_id", F.posexplode("groups").alias("i", "group_no"))
     return rows.groupBy("doc_id", "group_no").agg(F.min("i").cast("bigint").alias("first"), F.max("i").cast("bigint").alias("last"))
 
@@ -404,12 +404,12 @@ def box_overlap_anti(spark, sf_dir):
     return layout.overlapping(data.boxes(spark, sf_dir), data.boxes(spark, sf_dir, "part", "p_partkey"), "left_anti").select("box", "x0", "top")
 
 
-_ANCHORS = f"x as (select *, count(*) over (partition by doc_id, page) as n from {_BOXES}), s as (select *, case when x0 - lag(x0) over (partition by doc_id, page order by x0) > 40 then 1 else 0 end as apart from x where n >= 6), c as (select doc_id, page, k, avg(x0) as anchor, count(*) as m from (select *, sum(apart) over (partition by doc_id, page order by x0) as k from s) group by all having count(*) >= 3), a as (select doc_id, page, anchor, count(*) over (partition by doc_id, page) as big from c)"
+_ANCHORS = f"x as (select *, count(*) over (partition by doc_id, page) as n from {_BOXES}), s as (select *, case when x0 - lag(x0) over (partition by doc_id, page order by x0) > 8 then 1 else 0 end as apart from x where n >= 6), c as (select doc_id, page, k, avg(x0) as anchor, count(*) as m from (select *, sum(apart) over (partition by doc_id, page order by x0) as k from s) group by all having count(*) >= 3), a as (select doc_id, page, anchor, count(*) over (partition by doc_id, page) as big from c)"
 
 
 @query(f"with {_ANCHORS} select doc_id, page, round(anchor, 6) as anchor from a where big >= 2")
 def column_anchors(spark, sf_dir):
-    lines = data.boxes(spark, sf_dir).withColumn("page_width", F.lit(200.0))
+    lines = data.boxes(spark, sf_dir).withColumn("page_width", F.lit(40.0))
     return layout.column_anchors(lines).select("doc_id", "page", F.round("anchor", 6).alias("anchor"))
 
 
