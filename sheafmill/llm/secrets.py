@@ -57,34 +57,65 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
 
 
-def prefix_sums(numbers: Column) -> Column:
-    """The sum before each element, in strides, so that the work stays near linear."""
-    strides = F.transform(F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / _STRIDE).cast("int")), lambda s: F.slice(numbers, s * _STRIDE + 1, _STRIDE))
-    sums = F.transform(strides, _sum)
-    summed = F.transform(strides, lambda part, s: F.transform(part, lambda _, i: _sum(F.slice(sums, 1, s)) + _sum(F.slice(part, 1, i))))
-    return F.when(F.size(numbers) > 0, F.flatten(summed)).otherwise(F.array().cast("array<int>"))
-
-
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Structs (start, end, value) of a pattern's matches; ``value`` is the given group."""
-    whole, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gap = F.transform(whole, lambda _, i: F.length(between[i]))
-    before = prefix_sums(F.zip_with(gap, whole, lambda g, w: g + F.length(w)))
-    start = F.zip_with(before, gap, lambda b, g: b + g)
-    placed = F.zip_with(start, F.arrays_zip(whole.alias("w"), value.alias("v")), lambda s, x: F.struct(s.alias("start"), (s + F.length(x["w"])).alias("end"), x["v"].alias("value")))
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(text.rlike(pattern), placed).otherwise(none)
+def with_matches(rows: DataFrame, text: str, patterns: dict[str, tuple[str, int]]) -> DataFrame:
+    """Adds, by name, structs (start, end, value) of a pattern's matches; ``value`` is the given group.
+
+    Every array is a column before a lambda reads it: what a lambda refers to is worked out anew
+    for each element otherwise. Sums before each match are taken in strides, so the work stays
+    near linear in the matches.
+    """
+    c = lambda k, n: F.col(f"{n}__{k}")
+    none = F.array().cast("array<string>")
+
+    def whole(n: str) -> Column:
+        return F.when(F.col(text).rlike(patterns[n][0]), F.regexp_extract_all(text, F.lit(patterns[n][0]), F.lit(0))).otherwise(none)
+
+    def value(n: str) -> Column:
+        group = patterns[n][1]
+        return F.when(F.size(c("whole", n)) > 0, F.regexp_extract_all(text, F.lit(patterns[n][0]), F.lit(group))).otherwise(none) if group else c("whole", n)
+
+    def gap(n: str) -> Column:
+        between = F.when(F.size(c("whole", n)) > 0, F.split(text, patterns[n][0], -1)).otherwise(none)
+        return F.slice(F.transform(between, F.length), 1, F.size(c("whole", n)))
+
+    def reach(n: str) -> Column:
+        return F.zip_with(c("gap", n), c("whole", n), lambda g, w: g + F.length(w))
+
+    def parts(n: str) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(c("reach", n)) - 1) / _STRIDE).cast("int"))
+        return F.when(F.size(c("reach", n)) > 0, F.transform(places, lambda s: F.slice(c("reach", n), s * _STRIDE + 1, _STRIDE))).otherwise(F.array().cast("array<array<int>>"))
+
+    def sums(n: str) -> Column:
+        return F.transform(c("parts", n), _sum)
+
+    def bases(n: str) -> Column:
+        return F.transform(c("sums", n), lambda _, i: _sum(F.slice(c("sums", n), 1, i)))
+
+    def before(n: str) -> Column:
+        return F.flatten(F.zip_with(c("parts", n), c("bases", n), lambda part, base: F.transform(part, lambda _, i: base + _sum(F.slice(part, 1, i)))))
+
+    def start(n: str) -> Column:
+        return F.zip_with(c("before", n), c("gap", n), lambda x, g: x + g)
+
+    def both(n: str) -> Column:
+        return F.zip_with(c("whole", n), c("value", n), lambda w, v: F.struct(F.length(w).alias("w"), v.alias("v")))
+
+    stages = (whole, value, gap, reach, parts, sums, bases, before, start, both)
+    out = rows
+    for make in stages:
+        out = out.withColumns({f"{n}__{make.__name__}": make(n) for n in patterns})
+    spans = {n: F.zip_with(c("start", n), c("both", n), lambda s, x: F.struct(s.alias("start"), (s + x["w"]).alias("end"), x["v"].alias("value"))) for n in patterns}
+    return out.withColumns(spans).drop(*[f"{n}__{make.__name__}" for n in patterns for make in stages])
 
 
 def best_entropy(value: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits, of a window of the string (at least that long)."""
     weight = F.array(*[F.lit(c * log2(c) if c else 0.0) for c in range(window + 2)])
-    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
+    code = lambda i: F.instr(F.lit(_ALPHABET), F.substr(value, i + 1, F.lit(1))) - 1
     start = F.struct(F.array_repeat(F.lit(0), len(_ALPHABET)).alias("counts"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
 
     def step(state: Column, i: Column) -> Column:
-        enters, leaves = codes[i], F.when(i >= window, F.get(codes, i - window))
+        enters, leaves = code(i), F.when(i >= window, code(i - window))
         n, m = F.get(state["counts"], enters), F.coalesce(F.get(state["counts"], leaves), F.lit(0))
         moved = weight[n + 1] - weight[n] - F.when(leaves.isNotNull(), weight[m] - weight[m - 1]).otherwise(0.0)
         s = state["s"] + F.when(leaves == enters, 0.0).otherwise(moved)
@@ -113,8 +144,8 @@ def written(spans: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of ``docs``: doc_id, ``base`` and ``added`` spans (start, kind, end), kinds numbered as in KINDS."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.select(F.col(id_col).alias("doc_id"), matches(text, ASSIGN, 2).alias("a"), matches(text, ACCESS).alias("k"), matches(text, HEX).alias("h"), matches(text, CANDIDATE).alias("c"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    found = with_matches(rows, "t", {"a": (ASSIGN, 2), "k": (ACCESS, 0), "h": (HEX, 0), "c": (CANDIDATE, 0)})
     base = F.concat(_kind(F.filter("a", lambda x: F.length(x["value"]) >= 12), 0), _kind(F.col("k"), 1), _kind(F.col("h"), 2))
     found = found.select("doc_id", base.alias("base"), "c")
     allowed = lambda v: v.rlike("|".join(f"(?:{p})" for p in ALLOWED))
