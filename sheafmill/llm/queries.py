@@ -61,8 +61,9 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 shards of even bytes out of the input files; the rows are read back from the new shards."""
-    path, _ = resharding.rewrite(documents(spark, sf_dir), 40)
-    written = spark.read.parquet(path)
+    docs = documents(spark, sf_dir)
+    path, _ = resharding.rewrite(docs, 40)
+    written = resharding.read_shards(docs, path)
     text = F.col("row.text")
     return written.select(
         F.col("row.doc_id").alias("doc_id"), resharding.row_size(text).alias("size"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("long")).alias("text_crc32"), F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),

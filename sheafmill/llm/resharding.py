@@ -21,6 +21,7 @@ from collections import deque
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from .common import fresh_path, frozen
 
@@ -173,3 +174,9 @@ def rewrite(docs: DataFrame, shards: int, path: str | None = None, id_col: str =
         out = out.where(F.col("shard").isin(*changed) if changed else F.lit(False))
     out.write.partitionBy("shard").parquet(target)
     return target, changed
+
+
+def read_shards(docs: DataFrame, path: str) -> DataFrame:
+    """What :func:`rewrite` wrote of ``docs``: row, slot and shard; also where nothing was."""
+    schema = StructType().add("row", docs.schema).add("slot", LongType()).add("shard", IntegerType())
+    return docs.sparkSession.read.schema(schema).parquet(path)
