@@ -73,15 +73,15 @@ def test_pruning_misses_no_more_than_it_may():
 
 def test_signatures_estimate_similarity():
     words = [f"t{i}" for i in range(2000)]
-    a = shingle_hashes(" ".join(words).encode(), 5)
-    b = shingle_hashes(" ".join(words[:1800]).encode(), 5)
+    a = shingle_hashes(np.frombuffer(" ".join(words).encode(), np.uint8), 5)
+    b = shingle_hashes(np.frombuffer(" ".join(words[:1800]).encode(), np.uint8), 5)
     s = signatures([a, b])
     assert abs((s[0] == s[1]).mean() - 0.9) < 0.08
 
 
 def test_long_words_and_texts():
     raw = ("x" * 600_000 + " a b c d " + "y" * 300_000).encode()
-    assert len(shingle_hashes(raw, 5)) == len(shingle_set(raw.decode(), 5)) == 2
+    assert len(shingle_hashes(np.frombuffer(raw, np.uint8), 5)) == len(shingle_set(raw.decode(), 5)) == 2
 
 
 def test_chains_are_one_component(spark):
