@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Most pieces and most token pairs that a Python worker remembers.
 MEMO_PIECES = 300_000
-MEMO_PAIRS = 600_000
+MEMO_PAIRS = 200_000
 #: Rows handled at once.
 ROWS = 256
 

@@ -13,6 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch while an intermediate is written.
+BATCH_ROWS = 512
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _own_root: list[str] = []
 
 
@@ -43,7 +47,14 @@ def frozen(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    # Rows hold whole texts: with the default of 10,000 to an Arrow batch a few long texts in each
+    # make batches of hundreds of megabytes, on both sides.
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
