@@ -44,7 +44,7 @@ CLASSES = (
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i:example|placeholder|changeme|dummy|xxxx|0123456789|deadbeef)",
-    r"^(?:/?[a-z]+[0-9]{0,4}){2,}/?$",
+    r"^/?[a-z]+[0-9]{0,4}(?:/[a-z]+[0-9]{0,4})+/?$",
     r"^[a-z]+(?:[-_][a-z0-9]{1,12}){2,}$",
 )
 KINDS = ("assign", "access", "hex", "entropy")

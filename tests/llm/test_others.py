@@ -148,6 +148,16 @@ def test_entropy_windows_and_allow_list(spark):
     assert [round(r[0], 9) for r in got] == [round(entropy_of(v), 9) for v in values]
 
 
+def test_random_keys_of_small_letters_and_digits_are_reported(spark):
+    rng, letters = random.Random(9), "abcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [k for n in (20, 24, 32, 40) for k in ("".join(rng.choices(letters, k=n)) for _ in range(60)) if entropy_of(k) >= 3.4 and not base_spans(k) and not k.isalpha()]
+    paths = ["/home/user1/data2024/corpus/part7", "usr/local/share/python3/site/", "srv/www/html2/pages/index"]
+    assert len(keys) > 200
+    df = spark.createDataFrame(list(enumerate(f"at {v} end" for v in keys + paths)), "doc_id long, text string")
+    added = {r.doc_id: [(s.start, s.end) for s in r.added] for r in secrets.scan(df).collect()}
+    assert added == {i: [(3, 3 + len(v))] if i < len(keys) else [] for i, v in enumerate(keys + paths)}
+
+
 def test_scan_of_an_empty_table(empty):
     assert secrets.scan(empty).count() == 0
 
