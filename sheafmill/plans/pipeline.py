@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import chunk, clean, extract, retrieve
+from ..operators import chunk, clean, extract, index, retrieve
 from ..operators import tables as tab
 from ..schemas import INFO
 from ..sources import files
@@ -86,22 +86,42 @@ def contexts(chunks: DataFrame, sections: dict = SECTIONS, where: Column | dict
 
 
 def search_each(chunks: DataFrame, docs: DataFrame, asked: DataFrame, where: Column | dict | None, k: int) -> DataFrame:
-    """(doc_id, chunk_index) of the best chunks of each document: BM25 within the document over all phrasings.
+    """(doc_id, chunk_index) of the best chunks of each document, fused over all phrasings and rankers.
 
-    Terms, lengths and frequencies are those of the document, so it is the same as an index for each.
+    Hashed vectors rank every chunk, BM25 and identifiers those with a score. Terms, lengths and
+    hits are those of the document, so it is the same as an index for each; a mask changes no score.
     """
     by_doc = Window.partitionBy("doc_id")
-    bags = chunks.select("doc_id", "chunk_index", T.tokens(F.col("text")).alias("ts")).withColumn("size", F.size("ts"))
+    keyed = chunks.select("doc_id", "chunk_index", "text", F.struct("doc_id", "chunk_index").alias("chunk"))
+    bags = keyed.select("doc_id", "chunk_index", T.tokens(F.col("text")).alias("ts")).withColumn("size", F.size("ts"))
     bags = bags.withColumns({"n": F.count(F.lit(1)).over(by_doc), "mean": F.avg("size").over(by_doc)})
     tf = bags.select("doc_id", "chunk_index", "size", "n", "mean", F.explode("ts").alias("term")).groupBy("doc_id", "chunk_index", "size", "n", "mean", "term").agg(F.count(F.lit(1)).alias("tf"))
     tf = tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "term")))
     terms = asked.select("q", F.explode(F.array_distinct(T.tokens(F.col("query")))).alias("term"))
     weight = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * 2.5 / (F.col("tf") + 1.5 * (0.25 + 0.75 * F.col("size") / F.greatest("mean", F.lit(1.0))))
-    scores = tf.join(terms, "term").groupBy("doc_id", "q", "chunk_index").agg(F.round(F.sum(weight), 9).alias("score"))
-    if where is not None:
-        scores = scores.join(chunks.where(retrieve.mask(where)).select("doc_id", "chunk_index"), ["doc_id", "chunk_index"], "left_semi")
+    lexical = tf.join(terms, "term").groupBy("doc_id", "q", "chunk_index").agg(F.sum(weight).alias("score"))
+
+    vectors = index.hash_vectors(keyed, "chunk")
+    wanted = index.hash_vectors(asked.select("q", F.col("query").alias("text")), "q").withColumnRenamed("weight", "w")
+    near = vectors.join(wanted, "bucket").groupBy("chunk", "q").agg(F.sum(F.col("weight") * F.col("w")).alias("near")).select("chunk.doc_id", "chunk.chunk_index", "q", "near")
+    numbers = asked.agg(F.collect_list("q").alias("qs")).scalar()
+    every = keyed.select("doc_id", "chunk_index", F.explode(numbers).alias("q"))
+    dense = every.join(near, ["doc_id", "chunk_index", "q"], "left").select("doc_id", "q", "chunk_index", F.coalesce("near", F.lit(0.0)).alias("score"))
+
+    names = asked.select("q", F.explode(F.transform(index.identifiers(F.col("query")), lambda t: F.lower(t))).alias("token"))
+    tokens = names.agg(F.collect_set("token").alias("ts")).scalar()
+    hits = keyed.select("doc_id", "chunk_index", "text", F.count(F.lit(1)).over(by_doc).alias("n"), tokens.alias("ts")).select("doc_id", "chunk_index", "n", F.explode(F.filter("ts", lambda t: index.has_identifier(F.col("text"), t))).alias("token"))
+    hits = hits.withColumn("weight", F.log(1 + F.col("n") / (1 + F.count(F.lit(1)).over(Window.partitionBy("doc_id", "token")))))
+    exact = hits.join(names, "token").groupBy("doc_id", "q", "chunk_index").agg(F.sum("weight").alias("score"))
+
     rank = F.row_number().over(Window.partitionBy("doc_id", "q").orderBy(F.col("score").desc(), "chunk_index"))
-    votes = scores.where("score > 0").withColumn("rank", rank).where(F.col("rank") <= retrieve.CANDIDATES)
+    votes = None
+    for scores, floor in ((dense, -1.0), (lexical, 0.0), (exact, 0.0)):
+        scores = scores.withColumn("score", F.round("score", 9))
+        if where is not None:
+            scores = scores.join(chunks.where(retrieve.mask(where)).select("doc_id", "chunk_index"), ["doc_id", "chunk_index"], "left_semi")
+        part = scores.where(F.col("score") > floor).withColumn("rank", rank).where(F.col("rank") <= retrieve.CANDIDATES).select("doc_id", "chunk_index", "rank")
+        votes = part if votes is None else votes.unionByName(part)
     fused = votes.groupBy("doc_id", "chunk_index").agg(F.round(F.sum(1 / (retrieve.RRF + F.col("rank"))), 12).alias("fused"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("fused").desc(), "chunk_index"))
     return fused.withColumn("place", place).where(F.col("place") <= k).join(docs, "doc_id", "left_semi").select("doc_id", "chunk_index")

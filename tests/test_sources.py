@@ -1,3 +1,8 @@
+import hashlib
+import math
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from sheafmill.operators import extract
@@ -88,6 +93,54 @@ def test_files_to_results(spark, tmp_path):
     assert spark.read.text(f"{tmp_path}/out/txt").where("value like 'R-%'").count() == 29
 
 
+def fused_by_hand(chunks, queries, kept, k):
+    """The places of a document's best chunks by hashed vectors, BM25 and identifiers, one number after another."""
+
+    def vector(text):
+        words, out = re.findall("[a-z0-9]+", text.lower()), [0.0] * 384
+        for gram in words + [w[i : i + 4] for w in words for i in range(max(1, len(w) - 3))]:
+            digest = hashlib.md5(gram.encode()).digest()
+            out[int.from_bytes(digest[:4], "little") % 384] += 1.0 if digest[4] & 1 else -1.0
+        norm = math.sqrt(sum(x * x for x in out)) or 1.0
+        return [x / norm for x in out]
+
+    bags = [re.findall("[a-z0-9]+", c.lower()) for c in chunks]
+    fused, n, mean = {}, len(chunks), sum(map(len, bags)) / len(bags)
+    for query, ids in queries:
+        q, dense, lexical, exact = vector(query), [], [0.0] * n, [0.0] * n
+        dense = [sum(a * b for a, b in zip(q, vector(c), strict=True)) for c in chunks]
+        for term in set(re.findall("[a-z0-9]+", query.lower())):
+            df = sum(term in b for b in bags)
+            for i, b in enumerate(bags):
+                tf = b.count(term)
+                lexical[i] += math.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(b) / mean))
+        for token in ids:
+            hits = [i for i, b in enumerate(bags) if token in b]
+            for i in hits:
+                exact[i] += math.log(1 + n / (1 + len(hits)))
+        for scores, floor in ((dense, -1.0), (lexical, 0.0), (exact, 0.0)):
+            order = sorted((i for i in kept if round(scores[i], 9) > floor), key=lambda i: (-round(scores[i], 9), i))
+            for rank, i in enumerate(order[:40], 1):
+                fused[i] = fused.get(i, 0.0) + 1 / (60 + rank)
+    return sorted(sorted(fused, key=lambda i: (-round(fused[i], 12), i))[:k])
+
+
+def test_documents_are_searched_by_all_rankers(spark):
+    rng, words = random.Random(4), "pompe vanne nord ouverte calme relevé mesure jour usine zone".split()
+    other = [" ".join(rng.choices(words, k=6)) for _ in range(9)]
+    plain = [" ".join(rng.choices([*words, "pump", "valve", "GGN", "77b", "noted"], k=8)) for _ in range(12)]
+    bodies = {"other": other, "plain": plain, "blank": ["", "…"]}
+    rows = [(d, i, t, "table" if i % 4 == 3 else "text") for d, ts in bodies.items() for i, t in enumerate(ts)]
+    chunks = spark.createDataFrame(rows, "doc_id string, chunk_index int, text string, element_type string")
+    queries = [("pump valve noted GGN", ["ggn"]), ("observations near 77B", ["77b"])]
+    asked = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(queries)], "q int, query string")
+    got = {}
+    for r in pipeline.search_each(chunks, chunks.select("doc_id").distinct(), asked, pipeline.TEXTS, 4).collect():
+        got.setdefault(r.doc_id, []).append(r.chunk_index)
+    plainly = {d: fused_by_hand(ts, queries, [i for i in range(len(ts)) if i % 4 != 3], 4) for d, ts in bodies.items() if d != "blank"}
+    assert {d: sorted(x) for d, x in got.items()} == plainly | {"blank": [0, 1]}
+
+
 def test_a_model_without_quota_is_asked_once(spark):
     contexts = spark.createDataFrame([(f"d{i}", "document_info", f"c{i % 2}") for i in range(4)], "doc_id string, kind string, context string").coalesce(1)
 
