@@ -7,6 +7,7 @@ came from, and what it says is checked against the source.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -73,6 +74,19 @@ def pipe_notes(texts: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return exploded.select(key, "note_no", F.get("p", F.lit(0)).alias("date_raw"), F.get("p", F.lit(1)).alias("area"), F.array_join(F.slice("p", 3, F.size("p")), " | ").alias("text"))
 
 
+def said_notes(answers: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Notes of a model's answers, in the columns of :func:`pipe_notes`, and (key, warning) of answers that can't be read.
+
+    An answer's ``notes`` is a list of mappings with date_raw, area and text; a note without text
+    fails the answer, and no ``notes`` are none.
+    """
+    given = F.try_element_at("answer", F.lit("notes"))
+    read = answers.where("error is null").select(key, given.alias("given"), F.from_json(given, "array<struct<date_raw:string,area:string,text:string>>").alias("read"))
+    bad = F.col("given").isNotNull() & F.coalesce(F.exists("read", lambda n: n["text"].isNull()), F.lit(True))
+    notes = read.where(~bad).select(key, F.posexplode("read").alias("note_no", "p")).select(key, "note_no", "p.date_raw", "p.area", "p.text")
+    return notes, read.where(bad).select(key, F.lit("field_notes extraction failed: the answer's notes can't be read").alias("warning"))
+
+
 def verified(notes: DataFrame, sources: DataFrame, key: str = "doc_id") -> DataFrame:
     """Notes with ``verified``: whether their text stands in the document's source."""
     return notes.join(sources.select(key, F.col("source_text")), key, "left").withColumn("verified", F.coalesce(T.grounded(F.col("text"), F.coalesce("source_text", F.lit(""))), F.lit(False))).drop("source_text")
@@ -145,9 +159,15 @@ def request_key(kind: Column, context: Column, model: str) -> Column:
     return F.sha2(F.to_json(F.struct(F.lit(model).alias("model"), kind.alias("kind"), context.alias("context"))), 256)
 
 
+def _plain(value) -> str | None:
+    return json.dumps(value, ensure_ascii=False) if isinstance(value, (list, dict)) else None if value is None else str(value)
+
+
 def ask_model(contexts: DataFrame, model: Callable[[str, str], dict], model_name: str, cache: DataFrame | None = None, attempts: int = 3) -> DataFrame:
     """(doc_id, kind, key, answer map, error) for contexts (doc_id, kind, context); equal requests are asked once.
 
+    Values of an answer that are lists or mappings are kept as JSON.
+
     ``cache`` has (key, answer). An error is a value, so that one document's doesn't stop others;
     after one about a quota a task asks no more.
     """
@@ -166,7 +186,7 @@ def ask_model(contexts: DataFrame, model: Callable[[str, str], dict], model_name
                     error = f"{kind} extraction skipped: {out_of_quota}"
                 else:
                     try:
-                        answer = {k: None if v is None else str(v) for k, v in retried(lambda kind=kind, context=context: model(kind, context), attempts).items()}
+                        answer = {k: _plain(v) for k, v in retried(lambda kind=kind, context=context: model(kind, context), attempts).items()}
                     except Exception as failure:
                         error = f"{kind} extraction failed: {failure}"
                         out_of_quota = "LLM quota exhausted" if is_quota_error(failure) else None

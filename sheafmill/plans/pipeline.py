@@ -39,6 +39,7 @@ SECTIONS = {
     },
 }
 TEXTS = {"element_type": ["text", "ocr_text"]}
+NO_CONTEXT = "document_info: no context retrieved"
 
 
 @dataclass(frozen=True)
@@ -138,14 +139,23 @@ def extract_all(elements: DataFrame, model: Model | None = None, model_name: str
     records = settled(tab.master_records(typed), "records")
     sources = cleaned.withColumn("body", F.when(F.col("element_type") == "table", F.array_join(F.transform("rows", tab.render_row), "\n")).otherwise(F.col("text"))).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("element_no", "body"))), lambda x: x["body"]), "\n").alias("source_text"))
     sources = settled(sources, "sources")
-    notes = extract.verified(extract.pipe_notes(found.where("kind = 'field_notes'").select("doc_id", F.col("context").alias("text"))), sources)
+    noted = found.where("kind = 'field_notes'").select("doc_id", F.col("context").alias("text"))
+    notes = extract.pipe_notes(noted)
     empty = [F.lit(None).cast("string").alias(f) for f in INFO]
     info = sources.select("doc_id", *empty)
-    warnings = extract.row_count_warnings(typed, records)
+    full = found.where(T.strip(F.col("context")) != "")
+    missing = sources.select("doc_id").join(full.where("kind = 'document_info'"), "doc_id", "left_anti")
+    warnings = extract.row_count_warnings(typed, records).unionByName(missing.select("doc_id", F.lit(NO_CONTEXT).alias("warning")))
     if model is not None:
-        said = settled(extract.ask_model(found.where("kind = 'document_info' and context <> ''").select("doc_id", "kind", "context"), model, model_name), "answers")
-        info = said.select("doc_id", *[F.try_element_at("answer", F.lit(f)).alias(f) for f in INFO])
-        warnings = warnings.unionByName(said.where("error is not null").select("doc_id", F.col("error").alias("warning")))
+        # The model is asked for notes only where no lines are noted.
+        open_notes = full.where("kind = 'field_notes'").join(notes.select("doc_id").distinct(), "doc_id", "left_anti")
+        asked = full.where("kind = 'document_info'").select("doc_id", "kind", "context").unionByName(open_notes.select("doc_id", "kind", "context"))
+        said = settled(extract.ask_model(asked, model, model_name), "answers")
+        info = sources.select("doc_id").join(said.where("kind = 'document_info'"), "doc_id", "left").select("doc_id", *[F.try_element_at("answer", F.lit(f)).alias(f) for f in INFO])
+        more, unread = extract.said_notes(said.where("kind = 'field_notes'"))
+        notes = notes.unionByName(more)
+        warnings = warnings.unionByName(said.where("error is not null").select("doc_id", F.col("error").alias("warning"))).unionByName(unread)
+    notes = extract.verified(notes, sources)
     info = extract.ground_info(info, sources)
     warnings = warnings.unionByName(info.select("doc_id", F.explode("warnings").alias("warning"))).unionByName(notes.where("not verified").select("doc_id", F.concat(F.lit("field note not found verbatim in source: '"), F.substring("text", 1, 60), F.lit("'")).alias("warning")))
     monthly, dq, values, rest = tab.monthly_performance(typed), tab.quality_flags(typed), tab.value_groups(typed), tab.ancillary_tables(typed)
@@ -154,10 +164,16 @@ def extract_all(elements: DataFrame, model: Model | None = None, model_name: str
 
 
 def needs_retry(result: Result) -> DataFrame:
-    """Documents whose extraction failed for a reason that looking again may mend (not for a quota)."""
+    """Documents whose extraction failed, or found no context, for a reason that looking again may mend.
+
+    That is not so for a quota, nor for a missing context of a document without any text to search.
+    """
     w = result.warnings
     stuck = w.where(F.col("warning").contains("RESOURCE_EXHAUSTED") | F.col("warning").contains("quota")).select("doc_id")
-    return w.where(F.col("warning").contains("extraction failed")).select("doc_id").distinct().join(stuck, "doc_id", "left_anti")
+    searched = result.chunks.where(retrieve.mask(TEXTS)).select("doc_id").distinct()
+    failed = w.where(F.col("warning").contains("extraction failed")).select("doc_id")
+    missed = w.where(F.col("warning").contains("no context")).select("doc_id").join(searched, "doc_id", "left_semi")
+    return failed.unionByName(missed).distinct().join(stuck, "doc_id", "left_anti")
 
 
 def answer(chunks: DataFrame, questions: DataFrame, model: Callable[[str, str], str], k: int = 8) -> DataFrame:

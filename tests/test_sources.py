@@ -156,6 +156,35 @@ def test_a_model_without_quota_is_asked_once(spark):
     assert all(r.error is None for r in again.collect())
 
 
+def test_notes_that_are_no_piped_lines_are_asked_for(spark, tmp_path):
+    def note(name, *body):
+        (tmp_path / name).write_bytes(document([("h", "Field notes"), *[("p", x) for x in body]]))
+
+    note("free.docx", "On 3 May the pump was loud.", "Later the valve leaked.")
+    note("piped.docx", "3 May | North | pump ok", "4 May | South | valve loose", "5 May | East | all quiet")
+    note("bad.docx", "Unreadable answer here.")
+    note("long.docx", "x" * 13_000)
+    (tmp_path / "grid.xlsx").write_bytes(workbook({"S": (grid([["Left", "Right"], ["x", "y"]]), [])}))
+
+    def model(kind, context):
+        if kind == "document_info":
+            return {"title": "Field notes"}
+        if "pump ok" in context:
+            raise ValueError("asked although the lines are noted")
+        return {"notes": "nonsense"} if "Unreadable" in context else {"notes": [{"date_raw": "3 May", "area": None, "text": "the pump was loud"}, {"text": "an invented one"}]}
+
+    r = pipeline.extract_all(files.read_files(spark, str(tmp_path)), model, "fake")
+    notes = [(n.doc_id.rsplit("/", 1)[-1], n.note_no, n.date_raw, n.text, n.verified) for n in r.notes.orderBy("doc_id", "note_no").collect()]
+    assert [n for n in notes if n[0] == "free.docx"] == [("free.docx", 0, "3 May", "the pump was loud", True), ("free.docx", 1, None, "an invented one", False)]
+    assert [n[3] for n in notes if n[0] == "piped.docx"] == ["pump ok", "valve loose", "all quiet"] and {n[0] for n in notes} <= {"free.docx", "piped.docx", "long.docx"}
+    said = {(w.doc_id.rsplit("/", 1)[-1], w.warning) for w in r.warnings.collect()}
+    assert ("free.docx", "field note not found verbatim in source: 'an invented one'") in said
+    assert ("bad.docx", "field_notes extraction failed: the answer's notes can't be read") in said and ("grid.xlsx", pipeline.NO_CONTEXT) in said
+    assert len({x.doc_id for x in r.info.collect()}) == r.info.count() == 5
+    assert ("long.docx", pipeline.NO_CONTEXT) in said
+    assert {x.doc_id.rsplit("/", 1)[-1] for x in pipeline.needs_retry(r).collect()} == {"bad.docx", "long.docx"}
+
+
 def test_retries_and_fallback():
     naps, calls = [], []
 
