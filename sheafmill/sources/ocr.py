@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 import io
+import re
 import shutil
 from collections.abc import Callable
 from functools import cache
@@ -41,6 +42,15 @@ def engine(backend: str) -> Engine:
     return lambda content: ""
 
 
+def read(content: bytes, backend: str = "auto") -> str:
+    """Text of one picture by this worker's engine; tidy, and empty where it fails."""
+    try:
+        lines = engine(resolve(backend))(content).split("\n")
+    except Exception:
+        return ""
+    return "\n".join(x for x in (re.sub(r"[ \t]+", " ", line).strip() for line in lines) if x)
+
+
 def recognise(images: DataFrame, backend: str = "auto", own: Engine | None = None, cache_table: DataFrame | None = None) -> DataFrame:
     """``images`` (content, ...) with ``ocr_text``; equal pictures are read once, failures give an empty text.
 

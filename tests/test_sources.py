@@ -1,7 +1,12 @@
+import contextlib
 import hashlib
+import io
 import math
 import random
 import re
+import sys
+import types
+import zipfile
 
 from pyspark.sql import functions as F
 
@@ -185,6 +190,30 @@ def test_notes_that_are_no_piped_lines_are_asked_for(spark, tmp_path):
     assert {x.doc_id.rsplit("/", 1)[-1] for x in pipeline.needs_retry(r).collect()} == {"bad.docx", "long.docx"}
 
 
+def test_pictures_are_read_while_loading(monkeypatch):
+    monkeypatch.setattr(ocr, "resolve", lambda backend="auto": "fake")
+    monkeypatch.setattr(ocr, "engine", lambda backend: lambda content: f"read   from\n\n{content.decode()} of the file")
+    plain, out = document([("p", "Body")]), io.BytesIO(b"")
+    with zipfile.ZipFile(io.BytesIO(plain)) as old, zipfile.ZipFile(out, "w") as new:
+        new.writestr("word/document.xml", old.read("word/document.xml"))
+        new.writestr("word/media/image1.png", b"picture one")
+    found = files.load_one("/x/a.docx", out.getvalue())
+    assert [(e["element_type"], e["text"]) for e in found] == [("text", "Body"), ("ocr_text", "read from\npicture one of the file")]
+
+    def page(text, images, name):
+        picture = types.SimpleNamespace(save=lambda to, kind: to.write(name.encode()))
+        one = types.SimpleNamespace(width=100, height=100, images=images, extract_tables=list, extract_text=lambda: text, to_image=lambda resolution: types.SimpleNamespace(original=picture))
+        one.crop = lambda box: page("", [], f"{name} at {box[0]}")
+        return one
+
+    box = lambda x0, x1: {"x0": x0, "x1": x1, "top": 0, "bottom": 100}
+    pages = [page("", [], "scan"), page("word " * 100, [box(10, 20), box(0, 2)], "figure"), page("word " * 20, [box(0, 50)], "half")]
+    book = types.SimpleNamespace(open=lambda content: contextlib.nullcontext(types.SimpleNamespace(pages=pages)))
+    monkeypatch.setitem(sys.modules, "pdfplumber", book)
+    found = files.load_one("/x/a.pdf", b"")
+    assert [(e["page"], e["text"].split("\n")[-1]) for e in found if e["element_type"] == "ocr_text"] == [(1, "scan of the file"), (2, "figure at 10 of the file"), (3, "half of the file")]
+
+
 def test_retries_and_fallback():
     naps, calls = [], []
 
