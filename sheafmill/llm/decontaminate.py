@@ -12,7 +12,8 @@ sentence the first two thirds) and of its answer (the rest), a share ``overlap``
 trigrams must be in the passage, each.
 
 The index is broadcast. It holds at most ``block_items`` items; more items make more indexes,
-each of which reads the documents' words again.
+each of which reads the documents' words again. All have the statistics of all items, so the
+number of indexes changes no result.
 
 Defined cases: a null text, an empty one, or an item without words matches nothing; an item
 shorter than a trigram is compared by one n-gram of its length; repeated items are reported each;
@@ -26,7 +27,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 from math import log
 
@@ -69,10 +70,27 @@ def share_in(part: list[str], passage: list[str], n: int = 3) -> float:
     return len(own & grams(passage, n)) / len(own)
 
 
+class Statistics:
+    """Of all items with words, whichever index they are in: their number, mean and largest length, document frequencies."""
+
+    def __init__(self, texts: Iterable[str | None]):
+        self.n, self.total, self.longest, self.frequency = 0, 0, 0, Counter()
+        for bag in map(words, texts):
+            if bag:
+                self.n += 1
+                self.total += len(bag)
+                self.longest = max(self.longest, len(bag))
+                self.frequency.update(set(bag))
+
+    @property
+    def mean(self) -> float:
+        return self.total / self.n if self.n else 1.0
+
+
 class Index:
-    """Inverted index of items with impacts, their maxima and their block maxima."""
+    """Inverted index of items with impacts, their maxima and their block maxima; ``statistics`` are those of ``items`` if not given."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None):
         self.ids: list[int] = []
         self.parts: list[tuple[list[str], list[str]]] = []
         bags = []
@@ -83,10 +101,9 @@ class Index:
                 self.parts.append(question_and_answer(text))
                 bags.append(Counter(bag))
         sizes = [sum(b.values()) for b in bags]
-        self.longest = max(sizes, default=0)
-        mean = sum(sizes) / len(sizes) if sizes else 1.0
-        frequency = Counter(w for b in bags for w in b)
-        idf = {w: log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for w, n in frequency.items()}
+        known = statistics or Statistics(t for _, t in items)
+        self.longest, mean = known.longest, known.mean
+        idf = {w: log(1 + (known.n - (n := known.frequency[w]) + 0.5) / (n + 0.5)) for w in {w for b in bags for w in b}}
         self.vocabulary = {w: k for k, w in enumerate(sorted(idf))}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         for item, (bag, size) in enumerate(zip(bags, sizes, strict=True)):
@@ -230,23 +247,27 @@ class Index:
             yield t, start, tokens[t][start : start + 2 * step], terms, r
 
     def hits(self, texts: list[str | None], threshold: float, overlap: float) -> list[list[dict]]:
-        """Verified items of each text, each once, by its best passage."""
+        """Verified items of each text, each once, by its best passage, the first of equals."""
         best: list[dict[int, dict]] = [{} for _ in texts]
-        for t, start, passage, terms, r in self.passages(texts, threshold):
+        for t, passage_at, passage, terms, r in self.passages(texts, threshold):
             for item, score in self.search(terms, threshold, r * RANGE, min((r + 1) * RANGE, len(self.ids))):
                 question, answer = self.parts[item]
                 q, a = share_in(question, passage), share_in(answer, passage)
-                if q >= overlap and a >= overlap and (item not in best[t] or score > best[t][item]["score"]):
-                    best[t][item] = {"item_id": self.ids[item], "passage": start, "score": score, "question": q, "answer": a}
+                if q >= overlap and a >= overlap and (item not in best[t] or (score, -passage_at) > (best[t][item]["score"], -best[t][item]["passage"])):
+                    best[t][item] = {"item_id": self.ids[item], "passage": passage_at, "score": score, "question": q, "answer": a}
         return [[b[i] for i in sorted(b)] for b in best]
 
 
 def indexes(benchmark: DataFrame, block_items: int = 50_000) -> list[Index]:
-    """An index for each block of items; one block's items at a time are on the driver."""
+    """An index for each block of items; one block's items at a time are on the driver.
+
+    Scores and passages are those of one index of all items: the blocks share their statistics.
+    """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = max(1, -(-items.count() // block_items))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return [Index([tuple(r) for r in items.where(part == k).collect()]) for k in range(blocks)]
+    known = Statistics(r.text for r in items.select("text").toLocalIterator()) if blocks > 1 else None
+    return [Index([tuple(r) for r in items.where(part == k).collect()], known) for k in range(blocks)]
 
 
 _HIT = pa.struct([("item_id", pa.int64()), ("passage", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
@@ -266,7 +287,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
                 for start in range(0, whole.num_rows, 128):
                     batch = whole.slice(start, 128)
                     hits = held.value.hits(batch.column(1).to_pylist(), threshold, overlap)
-                    found = [(old or []) + new for old, new in zip(batch.column(2).to_pylist(), hits, strict=True)]
+                    found = [sorted((old or []) + new, key=lambda h: (h["item_id"] is not None, h["item_id"] or 0)) for old, new in zip(batch.column(2).to_pylist(), hits, strict=True)]
                     yield pa.record_batch([batch.column(0).cast(schema.field(0).type), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(_HIT))], schema=schema)
 
         out = out.mapInArrow(run, f"doc_id {kind.simpleString()}, text string, hits {_HITS}")

@@ -51,6 +51,25 @@ def test_items_are_found_wherever_they_are(spark):
         assert sorted(r.doc_id for r in clean.where("doc_id is not null").collect()) == [k for k in sorted(got, key=lambda x: (x is None, x or 0)) if k is not None and not got[k]]
 
 
+def test_the_number_of_indexes_changes_no_result(spark):
+    rng = random.Random(7)
+    bench = [(i, prose(rng, rng.randint(8, 60)) + ". " + prose(rng, rng.randint(3, 9)) + ".") for i in range(60)]
+    rows = []
+    for i in range(120):
+        kept = [w for w in bench[i % 60][1].split() if rng.random() < 0.35 + 0.5 * (i / 120)]
+        rows.append((i, " ".join(["zz"] * rng.randint(0, 90) + kept)))
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+
+    def found(block):
+        hits = contamination(docs, table, overlap=0.1, block_items=block).collect()
+        return {r.doc_id: [(h.item_id, h.passage, round(h.score, 9)) for h in r.hits] for r in hits}
+
+    whole = found(50_000)
+    scores = [s for hits in whole.values() for _, _, s in hits]
+    assert sum(s < 0.9 for s in scores) > 20
+    assert found(7) == whole == found(25)
+
+
 def test_without_items_or_rows(docs, empty, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(docs, none).where("size(hits) > 0").count() == 0
