@@ -7,8 +7,9 @@ proximal) with an elastic-net penalty on a sample of at most about ``per_class``
 language; one fifth of it is held back to calibrate the temperature of the probabilities.
 A prediction is a sum of table rows over a text's n-grams, so it is linear in the text's length.
 
-What reaches the driver: a count for each language and for each of the BUCKETS, and the sample's
-sparse vectors. The weights (BUCKETS x languages) are broadcast.
+The fit runs in one task on the bounded sample and the BUCKETS document frequencies. What reaches
+the driver is a count for each language and the weights (BUCKETS x languages), which are broadcast;
+more than ``MAX_CLASSES`` languages are an error.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 1; without a labelled
 training row everything is ``und`` with score 0; with one language it is that one; a null id is
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -33,6 +35,8 @@ ORDERS = 3
 BLOCK = 1 << 19
 #: Vectors are scaled by this, so that gradients are not tiny.
 SCALE = 20.0
+#: Most languages of a model; its table has BUCKETS numbers for each.
+MAX_CLASSES = 256
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 _SEEDS = np.array([0x27D4EB2F, 0x165667B1, 0xD3A2646C], np.uint32)
@@ -159,15 +163,15 @@ def held_out(id_col: Column) -> Column:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document frequencies of a task's rows, and the vectors of those in the sample."""
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("lang", pa.string()), ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
+    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("lang", pa.string()), ("tie", pa.int64()), ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
     frequency, seen = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, bool)
     rows = 0
     for whole in batches:
         for start in range(0, whole.num_rows, 64):
             batch = whole.slice(start, 64)
             points, at = code_points(batch.column(0).to_pylist())
-            langs, ids, counts = [], [], []
-            for i, (lang, sampled) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            langs, ties, ids, counts = [], [], [], []
+            for i, (lang, sampled, tie) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
                 own = np.zeros(BUCKETS + 1, np.int32) if sampled else None
                 local, size = points[at[i] : at[i + 1]], int(at[i + 1] - at[i])
                 seen[:] = False
@@ -182,16 +186,46 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own[BUCKETS] = 0
                     at_once = np.flatnonzero(own)
                     langs.append(lang)
+                    ties.append(tie)
                     ids.append(at_once.astype(np.int32))
                     counts.append(own[at_once])
             if langs:
                 k = len(langs)
-                yield pa.record_batch([pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(langs, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], schema=schema)
+                yield pa.record_batch([pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(langs, pa.string()), pa.array(ties, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], schema=schema)
     frequency[BUCKETS] = rows
     some = np.flatnonzero(frequency)
     k = len(some)
     if k:
-        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(frequency[some]), pa.nulls(k, pa.string()), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.list_(pa.int32()))], schema=schema)
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(frequency[some]), pa.nulls(k, pa.string()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.list_(pa.int32()))], schema=schema)
+
+
+def _fit_task(classes: tuple[str, ...]):
+    """One task: document frequencies and the sample (rows of _count's format) to a row of the fitted numbers."""
+    schema = pa.schema([("weights", pa.binary()), ("bias", pa.binary()), ("temperature", pa.float64())])
+    place = {c: i for i, c in enumerate(classes)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency = np.zeros(BUCKETS + 1)
+        labels, found = [], []
+        for batch in batches:
+            known = batch.filter(pc.is_valid(batch.column(0)))
+            frequency[known.column(0).to_numpy()] = known.column(1).to_numpy()
+            own = batch.filter(pc.is_valid(batch.column(2)))
+            labels += [place[x] for x in own.column(2).to_pylist()]
+            found += [(i.values.to_numpy().copy(), c.values.to_numpy().copy()) for i, c in zip(own.column(4), own.column(5), strict=True)]
+        idf = np.log((1 + frequency[BUCKETS]) / (1 + frequency[:BUCKETS])) + 1
+        vectors = [(i, c / max(1, c.sum()) * idf[i] * SCALE) for i, c in found]
+        # A fixed order, whatever order the tasks ended in.
+        order = sorted(range(len(vectors)), key=lambda k: (labels[k], len(vectors[k][0]), vectors[k][0].tobytes(), vectors[k][1].tobytes()))
+        vectors, labels = [vectors[k] for k in order], np.array([labels[k] for k in order], int)
+        back = np.arange(len(vectors)) % 5 == 4
+        ahead = np.flatnonzero(~back)
+        weights, bias = fit([vectors[k] for k in ahead], labels[ahead], len(classes))
+        logits = np.array([x @ weights[i] + bias for (i, x), b in zip(vectors, back, strict=True) if b]).reshape(-1, len(classes))
+        table = (weights * idf[:, None] * SCALE).astype(np.float32)
+        yield pa.record_batch([pa.array([table.tobytes()], pa.binary()), pa.array([bias.astype(np.float64).tobytes()], pa.binary()), pa.array([calibrate(logits, labels[back])], pa.float64())], schema=schema)
+
+    return run
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_class: int = 800) -> Model:
@@ -199,34 +233,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     from .common import frozen
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_CLASSES + 1).collect()}
     classes = tuple(sorted(sizes))
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} languages")
     if not classes:
         return Model((), np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0), 1.0)
     share = F.create_map(*[F.lit(x) for c in classes for x in (c, min(1.0, per_class / sizes[c]))])
-    sampled = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    counted = frozen(rows.select("text", "lang", sampled.alias("sampled")).mapInArrow(_count, "bucket int, n bigint, lang string, ids array<int>, counts array<int>"), "ngrams")
-    frequency = np.zeros(BUCKETS + 1)
-    for bucket, n in counted.where("bucket is not null").groupBy("bucket").agg(F.sum("n")).collect():
-        frequency[bucket] = n
-    idf = np.log((1 + frequency[BUCKETS]) / (1 + frequency[:BUCKETS])) + 1
-    sample = counted.where("lang is not null").select("lang", "ids", "counts").limit(2 * per_class * len(classes)).toArrow()
-    place = {c: i for i, c in enumerate(classes)}
-    labels = np.array([place[x] for x in sample.column("lang").to_pylist()], int)
-    vectors = []
-    for ids, counts in zip(sample.column("ids"), sample.column("counts"), strict=True):
-        i, c = ids.values.to_numpy(), counts.values.to_numpy()
-        vectors.append((i, c / max(1, c.sum()) * idf[i] * SCALE))
-    # A fixed order, whatever order the tasks ended in.
-    order = sorted(range(len(vectors)), key=lambda k: (labels[k], len(vectors[k][0]), vectors[k][0].tobytes(), vectors[k][1].tobytes()))
-    vectors, labels = [vectors[k] for k in order], labels[order]
-    back = np.arange(len(vectors)) % 5 == 4
-    ahead = np.flatnonzero(~back)
-    weights, bias = fit([vectors[k] for k in ahead], labels[ahead], len(classes))
-    logits = np.array([x @ weights[i] + bias for (i, x), b in zip(vectors, back, strict=True) if b]).reshape(-1, len(classes))
+    tie = F.xxhash64("id", F.lit("sample"))
+    sampled = F.pmod(tie, F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
+    counted = frozen(rows.select("text", "lang", sampled.alias("sampled"), tie.alias("tie")).mapInArrow(_count, "bucket int, n bigint, lang string, tie bigint, ids array<int>, counts array<int>"), "ngrams")
+    none = [F.lit(None).cast(t).alias(c) for c, t in counted.dtypes if c not in ("bucket", "n")]
+    frequency = counted.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).select("bucket", "n", *none)
+    # Should the hash draw many more rows than expected, the same ones are left out whatever the order of tasks.
+    sample = counted.where("lang is not null").orderBy("tie", "lang").limit(2 * per_class * len(classes))
+    fitted = frequency.unionByName(sample).coalesce(1).mapInArrow(_fit_task(classes), "weights binary, bias binary, temperature double").first()
     table = np.zeros((BUCKETS + 1, len(classes)), np.float32)
-    table[:BUCKETS] = weights * idf[:, None] * SCALE
-    return Model(classes, table, bias, calibrate(logits, labels[back]))
+    table[:BUCKETS] = np.frombuffer(fitted["weights"], np.float32).reshape(BUCKETS, len(classes))
+    return Model(classes, table, np.frombuffer(fitted["bias"], np.float64), fitted["temperature"])
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
