@@ -190,3 +190,19 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 yield pa.record_batch([part.column(0).cast(schema.field(0).type), decode_lists(path, part.column(1))], schema=schema)
 
     return tokens.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"doc_id {kind.simpleString()}, bytes binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``ids`` and the ``bytes`` that these decode to, by one Python worker for each task."""
+    kind = docs.schema[id_col].dataType
+    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("ids", pa.list_(pa.int32())), ("bytes", pa.large_binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path, pattern)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                ids = _lists([coder.encode(t or "") for t in batch.column(1).to_pylist()])
+                yield pa.record_batch([batch.column(0).cast(schema.field(0).type), ids, decode_lists(path, ids)], schema=schema)
+
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind.simpleString()}, ids array<int>, bytes binary")

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bpe, chat, decontaminate, exact_dedup, lang_id, minhash, resharding, secrets, suffix_dedup, url_filter
-from .common import documents, pieces
+from .common import documents
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,20 +29,9 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     import public_tokenizers
 
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    kind = tokens.schema["doc_id"].dataType
-    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-
-    def digests(batches):
-        for whole in batches:
-            for start in range(0, whole.num_rows, bpe.ROWS):
-                batch = whole.slice(start, bpe.ROWS)
-                ids = batch.column(1)
-                joined = pc.binary_join(ids.cast(pa.list_(pa.string())), " ")
-                decoded = bpe.decode_lists(path, ids)
-                yield pa.record_batch([batch.column(0).cast(schema.field(0).type), pc.list_value_length(ids).cast(pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in pieces(joined)], pa.string()), pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in decoded], pa.string())], schema=schema)
-
-    return tokens.mapInArrow(digests, f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    done = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
+    joined = F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
