@@ -38,40 +38,48 @@ FINGERPRINT_BITS = 48
 BLOCK_ROWS = 1 << 17
 
 
-def golomb_encode(values: np.ndarray) -> bytes:
-    """Sorted distinct unsigned integers as Golomb codes of their differences.
+def golomb_encode(values: np.ndarray, start: int = 0) -> bytes:
+    """Sorted unsigned integers from ``start`` as Golomb codes of their differences.
 
-    The parameter is a power of two near the mean difference. The unary quotients come first,
-    then the remainders, so that both can be read as whole arrays.
+    The parameter is a power of two near the mean difference. The remainders come first, then the
+    unary quotients, so that both can be read as whole arrays; a head of five bytes has the number
+    of values and the parameter.
     """
     n = len(values)
     if n == 0:
         return b""
-    gaps = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
-    k = max(0, int(int(values[-1]) // n).bit_length() - 1)
+    gaps = np.diff(values.astype(np.uint64), prepend=np.uint64(start))
+    k = max(0, ((int(values[-1]) - start) // n).bit_length() - 1)
     quotients = (gaps >> np.uint64(k)).astype(np.int64)
     ends = np.cumsum(quotients + 1)
     unary = np.ones(int(ends[-1]), np.uint8)
     unary[ends - 1] = 0
     shifts = np.arange(k - 1, -1, -1, dtype=np.uint64)
     rest = ((gaps[:, None] >> shifts[None, :]) & np.uint64(1)).astype(np.uint8)
-    head = np.array([n, k, len(unary)], "<i8").tobytes()
-    return head + np.packbits(unary).tobytes() + np.packbits(rest.ravel()).tobytes()
+    return np.array([n], "<u4").tobytes() + bytes([k]) + np.packbits(rest.ravel()).tobytes() + np.packbits(unary).tobytes()
 
 
-def golomb_decode(code: bytes) -> np.ndarray:
+def golomb_decode(code: bytes, start: int = 0) -> np.ndarray:
     if not code:
         return np.zeros(0, np.uint64)
-    n, k, unary_bits = np.frombuffer(code, "<i8", 3).tolist()
-    body = np.frombuffer(code, np.uint8, offset=24)
-    cut = (unary_bits + 7) // 8
-    stops = np.flatnonzero(np.unpackbits(body[:cut], count=unary_bits) == 0)
+    n, k = int(np.frombuffer(code, "<u4", 1)[0]), code[4]
+    body = np.frombuffer(code, np.uint8, offset=5)
+    cut = (n * k + 7) // 8
+    stops = np.flatnonzero(np.unpackbits(body[cut:]) == 0)[:n]
     quotients = np.diff(stops, prepend=-1) - 1
     gaps = quotients.astype(np.uint64) << np.uint64(k)
-    rest = np.unpackbits(body[cut:], count=n * k).reshape(n, k) if k else np.zeros((n, 0), np.uint8)
+    rest = np.unpackbits(body[:cut], count=n * k).reshape(n, k) if k else np.zeros((n, 0), np.uint8)
     for bit in range(k):
         gaps |= rest[:, bit].astype(np.uint64) << np.uint64(k - 1 - bit)
-    return np.cumsum(gaps, dtype=np.uint64)
+    return np.cumsum(gaps, dtype=np.uint64) + np.uint64(start)
+
+
+def owned(values: np.ndarray, owners: int, bits: int) -> tuple[list[int], list[int], list[int], int]:
+    """Owners (a power of two) of sorted ``bits``-bit values, where each one's range begins and ends, and how many bits are below an owner's number."""
+    shift = bits - (owners.bit_length() - 1)
+    own = values >> np.uint64(shift)
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+    return own[first].astype(np.int64).tolist(), first.tolist(), np.r_[first[1:], len(own)][: len(first)].tolist(), shift
 
 
 def _fingerprints(digests: np.ndarray) -> np.ndarray:
@@ -85,14 +93,6 @@ def _digests(column: pa.Array) -> np.ndarray:
     return np.frombuffer(flat, np.uint8).reshape(-1, 32)
 
 
-def _by_owner(distinct: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds of each owner's range in sorted fingerprints."""
-    shift = FINGERPRINT_BITS - (owners.bit_length() - 1)
-    edges = np.arange(owners + 1, dtype=np.uint64) << np.uint64(shift)
-    at = np.searchsorted(distinct, edges)
-    return at[:-1], at[1:]
-
-
 def _send(id_type: pa.DataType, owners: int):
     fields = [("kind", pa.int32()), ("sender", pa.int64()), ("doc_id", id_type), ("digest", pa.binary()), ("owner", pa.int32()), ("code", pa.binary())]
     schema = pa.schema(fields)
@@ -103,7 +103,8 @@ def _send(id_type: pa.DataType, owners: int):
         def flush():
             sender = (task << 24) | block
             distinct = np.unique(_fingerprints(np.concatenate(held)))
-            codes = [(o, golomb_encode(distinct[a:b])) for o, (a, b) in enumerate(zip(*_by_owner(distinct, owners), strict=True)) if b > a]
+            some, lows, highs, shift = owned(distinct, owners, FINGERPRINT_BITS)
+            codes = [(o, golomb_encode(distinct[a:b], o << shift)) for o, a, b in zip(some, lows, highs, strict=True)]
             n = len(codes)
             return pa.record_batch([pa.array([1] * n, pa.int32()), pa.array([sender] * n, pa.int64()), pa.nulls(n, id_type), pa.nulls(n, pa.binary()), pa.array([o for o, _ in codes], pa.int32()), pa.array([c for _, c in codes], pa.binary())], schema=schema)
 
@@ -125,7 +126,10 @@ def _send(id_type: pa.DataType, owners: int):
 
 
 def _own(table: pa.Table) -> pa.Table:
-    """One owner: which of the fingerprints that it got came from two senders or more."""
+    """One owner: which of the fingerprints that it got came from two senders or more.
+
+    It needn't know where its range starts: that shifts all of its fingerprints alike.
+    """
     codes = [golomb_decode(c) for c in table.column("code").to_pylist()]
     seen, times = np.unique(np.concatenate(codes), return_counts=True)
     shared = seen[times > 1]
@@ -140,9 +144,10 @@ def _mark(owners: int, id_type: pa.DataType):
         prints = _fingerprints(_digests(rows.column("digest")))
         distinct, where, times = np.unique(prints, return_inverse=True, return_counts=True)
         marked = times > 1
-        lows, highs = _by_owner(distinct, owners)
+        some, lows, highs, _ = owned(distinct, owners, FINGERPRINT_BITS)
+        place = {o: (a, b) for o, a, b in zip(some, lows, highs, strict=True)}
         for owner, bitmap in zip(replies.column("owner").to_pylist(), replies.column("bitmap").to_pylist(), strict=True):
-            a, b = int(lows[owner]), int(highs[owner])
+            a, b = place[owner]
             marked[a:b] |= np.unpackbits(np.frombuffer(bitmap, np.uint8), count=b - a).astype(bool)
         return pa.table({"doc_id": rows.column("doc_id").cast(id_type), "digest": rows.column("digest"), "suspect": pa.array(marked[where.ravel()])})
 
@@ -165,7 +170,8 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = docs.schema[id_col].dataType
     id_type = to_arrow_type(kind)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    owners = min(4096, pow2_at_least(2 * input_partitions(slim)))
+    # As many as there are blocks of input, so an owner's share doesn't grow with the data.
+    owners = pow2_at_least(2 * input_partitions(slim))
     wire = f"kind int, sender long, doc_id {kind.simpleString()}, digest binary, owner int, code binary"
     sent = frozen(slim.mapInArrow(_send(id_type, owners), wire), "fingerprints")
     replies = sent.where("kind = 1").select("sender", "owner", "code").groupBy("owner").applyInArrow(_own, "sender long, owner int, bitmap binary")

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sheafmill.llm.exact_dedup import deduplicate, duplicates, golomb_decode, golomb_encode
+from sheafmill.llm.exact_dedup import BLOCK_ROWS, FINGERPRINT_BITS, deduplicate, duplicates, golomb_decode, golomb_encode, owned
 
 
 def fold(t):
@@ -54,3 +54,13 @@ def test_null_ids_and_other_texts_of_an_id(spark):
 
 def test_empty(empty):
     assert duplicates(empty).count() == 0 and deduplicate(empty).count() == 0
+
+
+def test_codes_of_an_owner_are_compact():
+    """A full sender's fingerprints, each owner's coded from the start of its range; with the heads."""
+    rng = np.random.default_rng(4)
+    values = np.unique(rng.integers(0, 1 << FINGERPRINT_BITS, BLOCK_ROWS, dtype=np.uint64))
+    some, lows, highs, shift = owned(values, 4096, FINGERPRINT_BITS)
+    codes = [golomb_encode(values[a:b], o << shift) for o, a, b in zip(some, lows, highs, strict=True)]
+    assert (np.concatenate([golomb_decode(c, o << shift) for o, c in zip(some, codes, strict=True)]) == values).all()
+    assert 8 * sum(map(len, codes)) / len(values) < 36
