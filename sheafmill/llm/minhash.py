@@ -1,7 +1,8 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
-Documents are sets of word shingles. Those with the same set form a class and only its smallest
-id goes on. Signatures are cut into bands; documents that agree on a band share a bucket.
+Documents are sets of word shingles. Those with the same sequence of words form a class and only
+its smallest id goes on. Signatures are cut into bands; documents that agree on a band share a
+bucket.
 
 Candidates are compared by batches of signature values: under a uniform prior the posterior
 probability that two documents' similarity reaches the threshold follows from the matches so far,
@@ -10,10 +11,11 @@ sets, read from the texts. Links give components.
 
 A bucket's pairs are never all written out. First each bucket's members meet one pivot, the
 first in one of ten orders, by band; what that links is contracted. Only buckets that still hold
-more than one component are looked at again: pairs of different components that signatures don't
-prune are compared by all their shingles inside the task, in blocks of bounded size (a large
-bucket's blocks are dealt to tasks in pairs), and only links leave it. So none is lost, whatever a
-bucket's size.
+more than one component are looked at again, in blocks of bounded size (a large bucket's blocks
+are dealt to tasks in pairs). Signatures alone say which members have a partner in another
+component that isn't pruned; only these members' texts are dealt, in blocks of bounded bytes, and
+compared by all their shingles inside the task, and only links leave it. So none is lost, whatever
+a bucket's size.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with nothing; a
 text of fewer words than a shingle is one shingle; a null id is linked with nothing and is kept;
@@ -23,6 +25,7 @@ not read, whatever they are called.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from math import comb
 
@@ -41,10 +44,14 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 #: A pair is pruned if the posterior probability that it is similar is below this.
 MISS = 1e-8
-#: Signature values compared at a time, and members of a bucket that are compared in one block.
-BATCH, BLOCK = 20, 512
+#: Signature values compared at a time.
+BATCH = 20
+#: Members of a bucket that are compared in one block, by signatures and by texts, and bytes of texts of a block.
+MARKS_BLOCK, TEXTS_BLOCK, BYTES_BLOCK = 4096, 512, 1 << 22
 #: Pairs to verify, and members of buckets to compare, of a task.
 TASK_PAIRS, TASK_MEMBERS = 2000, 4000
+#: Words of more bytes are hashed one by one: sums of powers modulo 2^64 have known collisions there.
+LONG_WORD = 64
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPAN = 1 << 18
@@ -73,15 +80,15 @@ def word_hashes(raw: np.ndarray) -> np.ndarray:
     out, low, n = [], 0, len(raw)
     while low < n:
         high = min(low + _SPAN, n)
-        if high < n:  # cut at white space; a word longer than a block is one by its parts' hashes
+        if high < n:  # cut at white space, or at the end of a word that is longer than a block
             gaps = np.flatnonzero(_SPACE[raw[low:high]])
-            high = low + int(gaps[-1]) + 1 if len(gaps) else high
-            if not len(gaps):
-                stop = low
-                while stop < n and not _SPACE[raw[stop]]:
-                    stop += 1
-                out.append(np.array([xxhash.xxh3_64_intdigest(raw[low:stop].tobytes())], np.uint64))
-                low = stop
+            if len(gaps):
+                high = low + int(gaps[-1]) + 1
+            else:
+                while high < n and not _SPACE[raw[high]]:
+                    high += 1
+                out.append(np.array([xxhash.xxh3_64_intdigest(raw[low:high].tobytes())], np.uint64))
+                low = high
                 continue
         part = raw[low:high]
         inside = np.concatenate([[False], ~_SPACE[part], [False]])
@@ -89,7 +96,10 @@ def word_hashes(raw: np.ndarray) -> np.ndarray:
         starts, ends = edges[::2], edges[1::2]
         total = np.zeros(len(part) + 1, np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=total[1:])
-        out.append(mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
+        found = mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            found[k] = xxhash.xxh3_64_intdigest(part[starts[k] : ends[k]].tobytes())
+        out.append(found)
         low = high
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -172,7 +182,7 @@ def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
 
 def sign(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType
-    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_shingles", pa.int64()), ("words_key", pa.binary()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -186,11 +196,12 @@ def sign(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                     found = signatures([sets[i] for i in some])
                     short, rows = found.astype(np.uint8), band_keys(found)
                     for j, i in enumerate(some):
-                        keys[i], marks[i], bands[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), short[j].tobytes(), rows[j]
+                        words = b" ".join(raw[at[i] : at[i + 1]].tobytes().split())
+                        keys[i], marks[i], bands[i] = hashlib.sha256(words).digest(), short[j].tobytes(), rows[j]
                 yield pa.record_batch([batch.column(0).cast(schema.field(0).type), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, f"doc_id {kind.simpleString()}, n_shingles bigint, set_key binary, signature binary, bands array<bigint>")
+    return slim.mapInArrow(run, f"doc_id {kind.simpleString()}, n_shingles bigint, words_key binary, signature binary, bands array<bigint>")
 
 
 def _rows_of(column: pa.Array) -> np.ndarray:
@@ -233,6 +244,48 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def _rivals(i: int, second: np.ndarray, teams: np.ndarray, sizes: np.ndarray, marks: np.ndarray, bands: np.ndarray, band: int, floors: np.ndarray, threshold: int) -> np.ndarray:
+    """Which of the rows ``second`` of other components may be similar to row i, by sizes and signatures.
+
+    A pair that shares several buckets is that of its first one.
+    """
+    others = second[teams[second] != teams[i]]
+    small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+    others = others[100 * small >= threshold * large]
+    alive, _ = surviving(np.broadcast_to(marks[i], (len(others), HASHES)), marks[others], floors)
+    others = others[alive]
+    return others[(bands[others] == bands[i]).argmax(axis=1) == band]
+
+
+def _block_pairs(group: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of the first block, each with the rows of the second that it is to meet."""
+    block = group.column("block").to_numpy()
+    first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()
+    theirs = np.flatnonzero(block == second)
+    for i in np.flatnonzero(block == first).tolist():
+        yield i, theirs[theirs > i] if first == second else theirs
+
+
+def _marked_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, threshold: int):
+    """Members of a pair of a bucket's blocks that have a partner which signatures don't prune."""
+    schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("doc_id", id_type)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 4):
+            teams = np.unique(group.column("component").to_numpy(zero_copy_only=False), return_inverse=True)[1].ravel()
+            sizes, marks = group.column("n_shingles").to_numpy(), _rows_of(group.column("signature"))
+            bands, band = group.column("bands").flatten().to_numpy().reshape(-1, BANDS), group.column("band")[0].as_py()
+            found = np.zeros(group.num_rows, bool)
+            for i, others in _block_pairs(group):
+                rivals = _rivals(i, others, teams, sizes, marks, bands, band, floors, threshold)
+                found[rivals] = True
+                found[i] |= len(rivals) > 0
+            if found.any():
+                yield pa.RecordBatch.from_arrays([group.column(c).filter(pa.array(found)).cast(schema.field(c).type) for c in schema.names], schema=schema)
+
+    return run, f"band int, key bigint, doc_id {kind}"
+
+
 def _link_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, threshold: int, width: int):
     """Links between different components in a pair of a bucket's blocks.
 
@@ -245,12 +298,9 @@ def _link_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, threshold:
         for group in _groups(batches, 4):
             names = group.column("doc_id").to_numpy(zero_copy_only=False)
             teams = np.unique(group.column("component").to_numpy(zero_copy_only=False), return_inverse=True)[1].ravel()
-            block, sizes = group.column("block").to_numpy(), group.column("n_shingles").to_numpy()
-            marks = _rows_of(group.column("signature"))
-            bands = group.column("bands").flatten().to_numpy().reshape(-1, BANDS)
-            band = group.column("band")[0].as_py()
+            sizes, marks = group.column("n_shingles").to_numpy(), _rows_of(group.column("signature"))
+            bands, band = group.column("bands").flatten().to_numpy().reshape(-1, BANDS), group.column("band")[0].as_py()
             raw, at = text_buffer(group.column("text"), fold=True)
-            first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()
             sets: dict[int, np.ndarray] = {}
 
             def shingles(i: int, raw=raw, at=at, sets=sets) -> np.ndarray:
@@ -259,15 +309,8 @@ def _link_blocks(kind: str, id_type: pa.DataType, floors: np.ndarray, threshold:
                 return sets[i]
 
             pairs = []
-            for i in np.flatnonzero(block == first).tolist():
-                others = np.flatnonzero((block == second) & (teams != teams[i]))
-                others = others[others > i] if first == second else others
-                small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-                others = others[100 * small >= threshold * large]
-                # A pair that shares several buckets is that of its first one.
-                others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
-                alive, _ = surviving(np.broadcast_to(marks[i], (len(others), HASHES)), marks[others], floors)
-                others = others[alive]
+            for i, others in _block_pairs(group):
+                others = _rivals(i, others, teams, sizes, marks, bands, band, floors, threshold)
                 if not len(others):
                     continue
                 own = shingles(i)
@@ -306,6 +349,13 @@ def _verify(kind: str, id_type: pa.DataType, width: int, threshold: int):
     return run, f"a {kind}, b {kind}"
 
 
+def _dealt(members: DataFrame, *more: str) -> DataFrame:
+    """Members of buckets of so many ``blocks``, once for each pair of blocks that they belong to, in groups by pair."""
+    blocked = members.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), "blocks").cast("int"))
+    dealt = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "doc_id", "component", "block", "n_shingles", "signature", "bands", *more)
+    return dealt.repartition("band", "key", "first", "second").sortWithinPartitions("band", "key", "first", "second")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -317,8 +367,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = frozen(sign(slim, width, "doc_id", "text"), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = frozen(usable.groupBy("set_key").agg(F.min("doc_id").alias("representative")), "classes")
-    heads = usable.join(classes.select("set_key", F.col("representative").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+    classes = frozen(usable.groupBy("words_key").agg(F.min("doc_id").alias("representative")), "classes")
+    heads = usable.join(classes.select("words_key", F.col("representative").alias("doc_id")), ["words_key", "doc_id"], "left_semi")
     heads = frozen(heads.select("doc_id", "n_shingles", "signature", "bands"), "heads")
 
     # Buckets of two or more, and the pivot of each.
@@ -346,20 +396,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     # Buckets that still hold several components: all pairs that may join two are compared in their blocks.
     larger = members.where("members > 2").select("band", "key", "doc_id")
     labelled = frozen(larger.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "labelled")
-    mixed = labelled.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    mixed = labelled.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key", F.ceil(F.col("members") / MARKS_BLOCK).cast("int").alias("blocks"))
     rest = frozen(labelled.join(mixed, ["band", "key"]), "mixed")
     n = rest.count()
     if n:
-        blocked = rest.join(heads, "doc_id").join(texts, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), "blocks").cast("int"))
-        dealt = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "doc_id", "component", "block", "n_shingles", "signature", "bands", "text")
+        run, schema = _marked_blocks(name, id_type, floors, threshold)
+        open_members = frozen(in_tasks(_dealt(rest.join(heads, "doc_id")), n, TASK_MEMBERS).mapInArrow(run, schema).distinct(), "open")
+        n = open_members.count()
+    if n:
+        near = rest.drop("blocks").join(open_members, ["band", "key", "doc_id"]).join(heads, "doc_id").join(texts, "doc_id")
+        blocks = open_members.join(texts.select("doc_id", F.octet_length("text").alias("size")), "doc_id").groupBy("band", "key").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TEXTS_BLOCK, F.sum("size") / BYTES_BLOCK)).cast("int").alias("blocks"))
         run, schema = _link_blocks(name, id_type, floors, threshold, width)
-        sorted_blocks = dealt.repartition("band", "key", "first", "second").sortWithinPartitions("band", "key", "first", "second")
-        more = frozen(in_tasks(sorted_blocks, n, TASK_MEMBERS).mapInArrow(run, schema), "more")
+        more = frozen(in_tasks(_dealt(near.join(blocks, ["band", "key"]), "text"), n, TASK_MEMBERS).mapInArrow(run, schema), "more")
         if not more.isEmpty():
             found = frozen(components(links.union(verified(more.distinct(), n))), "components")
 
-    by_set = classes.join(found, classes["representative"] == found["node"], "left").select("set_key", F.coalesce("component", "representative").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key", "left")
+    by_set = classes.join(found, classes["representative"] == found["node"], "left").select("words_key", F.coalesce("component", "representative").alias("component"))
+    out = signed.select("doc_id", "n_shingles", "words_key").join(by_set, "words_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

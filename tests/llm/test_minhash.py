@@ -1,7 +1,7 @@
 import numpy as np
 
 from sheafmill.llm.components import components
-from sheafmill.llm.minhash import deduplicate, least_matches, near_duplicates, shingle_hashes, shingle_set, signatures
+from sheafmill.llm.minhash import deduplicate, least_matches, near_duplicates, shingle_hashes, shingle_set, signatures, word_hashes
 
 
 def brute(texts, width, threshold=80):
@@ -92,3 +92,45 @@ def test_chains_are_one_component(spark):
 
 def test_empty(empty):
     assert near_duplicates(empty).count() == 0 and deduplicate(empty).count() == 0
+
+
+def test_words_with_colliding_sums_of_powers_differ():
+    """Two Thue-Morse words: their polynomial hashes modulo 2^64 are equal for any base."""
+    bits = "a"
+    while len(bits) < 2048:
+        bits += bits.translate(str.maketrans("ab", "ba"))
+    other = bits.translate(str.maketrans("ab", "ba"))
+    a, b = (np.frombuffer(x.encode(), np.uint8) for x in (bits, other))
+    assert word_hashes(a)[0] != word_hashes(b)[0]
+
+
+def test_a_word_of_any_length_has_one_hash():
+    for size in (63, 64, 65, (1 << 18) - 1, 1 << 18, (1 << 18) + 1, 1 << 19):
+        word = b"y" * size
+        hashes = {int(word_hashes(np.frombuffer(before + word + after, np.uint8))[-1 if before else 0]) for before in (b"", b"one ", b"x " * 140_000) for after in (b"", b"\n", b" ")}
+        assert len(hashes) == 1
+
+
+def test_texts_of_one_shingle_set_are_linked(spark):
+    """Different texts with the same set, and a text whose words repeat."""
+    base = " ".join(f"w{i % 40}" for i in range(80))
+    texts = {1: base, 2: base + " " + base, 3: base.upper(), 4: " ".join(f"w{(i + 3) % 40}" for i in range(90)), 5: None, 6: "one two", 7: "one  two\n"}
+    check(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), texts, 4)
+
+
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    """A mixed bucket over many blocks, by rows and by bytes, and components that only block pairs join."""
+    from sheafmill.llm import minhash
+
+    monkeypatch.setattr(minhash, "MARKS_BLOCK", 16)
+    monkeypatch.setattr(minhash, "TEXTS_BLOCK", 8)
+    monkeypatch.setattr(minhash, "BYTES_BLOCK", 4000)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for i in range(160):
+        words = list(base)
+        for k in rng.integers(0, 120, int(rng.integers(0, 7))):
+            words[k] = f"x{rng.integers(0, 10**6)}"
+        texts[i] = " ".join(words)
+    check(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3), texts, 4)
