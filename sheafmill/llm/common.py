@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,10 +22,12 @@ _own_root: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where none is set (tests)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where none is set and all runs in one process (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_root:
         held = tempfile.TemporaryDirectory(prefix="sheafmill-")
         atexit.register(held.cleanup)

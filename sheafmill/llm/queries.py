@@ -44,10 +44,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """40 shards of even bytes out of the input files; the rows are read back from the new shards."""
-    docs = documents(spark, sf_dir)
-    path, _ = resharding.rewrite(docs, 40)
-    written = resharding.read_shards(docs, path)
+    """40 shards of even bytes out of the input files; the rows are read back from the new shards, or old ones that stay."""
+    written, _, _ = resharding.rewrite(documents(spark, sf_dir), 40)
     text = F.col("row.text")
     return written.select(
         F.col("row.doc_id").alias("doc_id"), resharding.row_size(text).alias("size"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("long")).alias("text_crc32"), F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
@@ -167,6 +165,8 @@ def _sql_matches(name: str, pattern: str, group: int = 0) -> str:
 
 
 _SQL_ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+#: In SQL groups aren't possessive.
+_SQL_ALLOWED = "|".join(f"(?:{p})" for p in secrets.ALLOWED).replace("++", "+").replace("}+", "}")
 _SQL_CLASS = "case " + " ".join(f"when regexp_matches(value, '{p}') then {least}" for _, p, least in secrets.CLASSES) + " end"
 _OP9_SQL = f"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
@@ -175,7 +175,7 @@ with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text
 {_sql_matches("h", secrets.HEX)},
 {_sql_matches("c", secrets.CANDIDATE)},
 base as (select r, s, e, 0 as kind from a where len(value) >= 12 union all select r, s, e, 1 from k union all select r, s, e, 2 from h),
-rest as (select c.*, {_SQL_CLASS} as least from c where not exists (select 1 from base b where b.r = c.r and b.s < c.e and c.s < b.e) and not regexp_matches(value, '{"|".join(f"(?:{p})" for p in secrets.ALLOWED)}')),
+rest as (select c.*, {_SQL_CLASS} as least from c where not exists (select 1 from base b where b.r = c.r and b.s < c.e and c.s < b.e) and not regexp_matches(value, '{_SQL_ALLOWED}')),
 added as (select r, s, e, 3 as kind from rest where least < 99 and list_max(list_transform(range(1, len(value) - {secrets.WINDOW} + 2), lambda i: list_entropy(string_split(substr(value, i, {secrets.WINDOW}), '')))) >= least),
 spans as (select *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e as w from (select * from base union all select * from added)),
 g as (select r, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex, coalesce(string_agg(w, ',' order by s, kind) filter (kind < 3), '') as b, string_agg(w, ',' order by s, kind) as spans from spans group by r)

@@ -2,23 +2,23 @@
 
 The rows of each old shard lie in a fixed order, cut into blocks of bounded size. From the old
 shards' sizes and the new shards' capacities a transport problem is solved on the driver (its
-size is old x new shards, whatever the data): a byte that stays in the shard of the same number
-costs nothing, a moved one costs one. The flow says how many bytes of which old shard go where;
-these amounts are cut out of the old shard's order as ranges, so that a shard misses its
+size is that of the lists of shards, whatever the data): a byte that stays in the shard of the
+same number costs nothing, a moved one costs one. The flow says how many bytes of which old shard
+go where; these amounts are cut out of the old shard's order as ranges, so that a shard misses its
 capacity by less than a row for each range that it gets. Only affected shards are rewritten.
 
 Offsets of rows are sums inside a block plus the sums of the blocks before it, so no task
-handles a whole shard. Blocks are dealt by a hash of the id; a hot old shard only has more of them.
+handles a whole shard. Rows get their block by a hash of id and text; a hot old shard only has more
+blocks. What is known of the blocks is a table that is joined by key.
 
 Defined cases: a null text has no bytes; null ids are dealt and numbered like others; rows that
-repeat id and text are told apart by their number within the block; an empty table gives an
-empty result; extra columns are carried along by :func:`rewrite` whatever they are called.
+repeat id and text are told apart by their number within the block; there may be more shards than
+rows, and then some are empty; an empty table gives an empty result; extra columns are carried
+along by :func:`rewrite` whatever they are called.
 """
 
 from __future__ import annotations
 
-from collections import deque
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
@@ -27,64 +27,44 @@ from .common import fresh_path, frozen
 
 #: Bytes that a row has besides its text.
 ROW_BYTES = 16
-#: Rows of a block, about; and most blocks, beyond which they get larger instead.
-BLOCK_ROWS = 8192
-MAX_BLOCKS = 1 << 16
+#: Rows of a block, about.
+BLOCK_ROWS = 2048
 
 
 def row_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")
 
 
-def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
+def min_cost_flow(supply: list[int], capacity: list[int], home: list[int | None]) -> dict[tuple[int, int], int]:
     """Amounts from each source to each sink that use up ``supply`` at the least total cost.
 
-    Successive shortest paths on the residual graph of a bipartite transport problem. ``cost``
-    gives the cost of a unit from source i to sink j. Each augmentation uses up a source, fills
-    a sink or cancels a flow, so the work depends on the number of shards, not on the amounts.
+    A unit from source i to the sink ``home[i]`` costs nothing, to any other one. The network is
+    sparse: an arc of no cost from each source to its home, and arcs of cost one from all sources
+    to a hub, from which all sinks are reached. Flow is sent along shortest paths, level by level
+    of their length: first all that fits the free arcs; then, as no path of length zero is left,
+    what is over goes through the hub. Each path uses up a source or fills a sink, so there are at
+    most as many as sources and sinks; longer paths would only be needed with no room left.
     """
     if sum(supply) > sum(capacity):
         raise ValueError("the new shards hold less than the old ones have")
     flow: dict[tuple[int, int], int] = {}
     left, room = list(supply), list(capacity)
-    price = [[cost(i, j) for j in range(len(capacity))] for i in range(len(supply))]
-    n, m = len(supply), len(capacity)
-    while True:
-        # Label-correcting search from all sources with supply left; nodes n + j are sinks.
-        best = [0 if left[i] else None for i in range(n)] + [None] * m
-        came: list[int | None] = [None] * (n + m)
-        queue = deque(i for i in range(n) if left[i])
-        if not queue:
-            return flow
-        waiting = [bool(left[i]) for i in range(n)] + [False] * m
-        while queue:
-            u = queue.popleft()
-            waiting[u] = False
-            if u < n:
-                steps = [(n + j, price[u][j]) for j in range(m)]
-            else:
-                steps = [(i, -price[i][u - n]) for i in range(n) if flow.get((i, u - n))]
-            for v, c in steps:
-                d = best[u] + c
-                if best[v] is None or d < best[v]:
-                    best[v], came[v] = d, u
-                    if not waiting[v]:
-                        waiting[v] = True
-                        queue.append(v)
-        end = min((j for j in range(m) if room[j] and best[n + j] is not None), key=lambda j: (best[n + j], j))
-        path, v = [], n + end
-        while v is not None:
-            path.append(v)
-            v = came[v]
-        path.reverse()
-        amount = min([left[path[0]], room[end], *(flow[(b, a - n)] for a, b in zip(path, path[1:], strict=False) if a >= n)])
-        for a, b in zip(path, path[1:], strict=False):
-            if a < n:
-                flow[(a, b - n)] = flow.get((a, b - n), 0) + amount
-            else:
-                flow[(b, a - n)] -= amount
-        left[path[0]] -= amount
-        room[end] -= amount
+    for i, j in enumerate(home):
+        if j is not None and (amount := min(left[i], room[j])):
+            flow[(i, j)] = amount
+            left[i] -= amount
+            room[j] -= amount
+    open_sinks = (j for j in range(len(room)) if room[j])
+    j = next(open_sinks, None)
+    for i in range(len(left)):
+        while left[i]:
+            amount = min(left[i], room[j])
+            flow[(i, j)] = flow.get((i, j), 0) + amount
+            left[i] -= amount
+            room[j] -= amount
+            if not room[j]:
+                j = next(open_sinks, None)
+    return flow
 
 
 def even_capacities(total: int, shards: int) -> list[int]:
@@ -97,22 +77,17 @@ def plan_moves(sizes: dict[int, int], capacities: list[int]) -> list[tuple[int,
     What stays comes first in an old shard, then the moved ranges by their new shard.
     """
     old = sorted(sizes)
-    flow = min_cost_flow([sizes[i] for i in old], capacities, lambda i, j: 0 if old[i] == j else 1)
-    out = []
-    for i, shard in enumerate(old):
-        at = 0
-        for j in sorted((j for (a, j), v in flow.items() if a == i and v), key=lambda j: (j != shard, j)):
-            out.append((shard, at, at + flow[(i, j)], j))
-            at += flow[(i, j)]
+    flow = min_cost_flow([sizes[i] for i in old], capacities, [i if 0 <= i < len(capacities) else None for i in old])
+    out, at, last = [], 0, None
+    for (i, j), amount in sorted(flow.items(), key=lambda x: (x[0][0], x[0][1] != old[x[0][0]], x[0][1])):
+        at = at if i == last else 0
+        out.append((old[i], at, at + amount, j))
+        at, last = at + amount, i
     return out
 
 
 def _blocked(docs: DataFrame, id_col: str, text_col: str, old_shard: Column | None) -> DataFrame:
-    """``docs`` as a struct ``row``, with old shard, block, and what orders a block's rows.
-
-    Blocks have about BLOCK_ROWS rows, more where there would be over MAX_BLOCKS of them. The
-    table of old shards has a row for each, so it is small enough to broadcast.
-    """
+    """``docs`` as a struct ``row``, with old shard, block, and what orders a block's rows."""
     spark = docs.sparkSession
     name = F.input_file_name() if old_shard is None else old_shard.cast("int")
     text = F.col(text_col)
@@ -120,10 +95,10 @@ def _blocked(docs: DataFrame, id_col: str, text_col: str, old_shard: Column | No
         name.alias("name"), F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("long")).alias("crc"), row_size(text).alias("size"), F.xxhash64(F.col(id_col), text).alias("tie"),
     )
     counts = sorted((r[0], r[1]) for r in docs.select(name.alias("name")).groupBy("name").count().collect())
-    per_block = max(BLOCK_ROWS, -(-sum(n for _, n in counts) // MAX_BLOCKS))
-    known = [(x, i if old_shard is None else x, -(-n // per_block)) for i, (x, n) in enumerate(counts)]
+    known = [(x, i if old_shard is None else x, -(-n // BLOCK_ROWS)) for i, (x, n) in enumerate(counts)]
+    # A row for each old shard; the optimiser knows its size.
     names = spark.createDataFrame(known, f"name {'string' if old_shard is None else 'int'}, old_shard int, blocks int")
-    return rows.join(F.broadcast(names), "name").withColumn("block", F.pmod("tie", "blocks").cast("int")).drop("name", "blocks")
+    return rows.join(names, "name").withColumn("block", F.pmod("tie", "blocks").cast("int")).drop("name", "blocks")
 
 
 def plan(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", old_shard: Column | None = None, capacities: list[int] | None = None) -> tuple[DataFrame, set[int]]:
@@ -136,44 +111,46 @@ def plan(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     slim = _blocked(docs, id_col, text_col, old_shard).select("old_shard", "block", "id", "crc", "tie", "size")
     rows = frozen(slim.select("old_shard", "block", "size", F.row_number().over(order).alias("nth"), F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")).alias("inner")), "blocks")
-    totals = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"))
+    totals = frozen(rows.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes")), "totals")
     sizes = {r[0]: int(r[1]) for r in totals.groupBy("old_shard").agg(F.sum("bytes")).collect()}
     moves = plan_moves(sizes, even_capacities(sum(sizes.values()), shards) if capacities is None else capacities)
-    # From here on tables have a row or two for each block, at most MAX_BLOCKS and one for each old shard.
+    # From here on tables have a row or two for each block.
     base = totals.select("old_shard", "block", (F.sum("bytes").over(Window.partitionBy("old_shard").orderBy("block")) - F.col("bytes")).alias("base"))
     ranges = spark.createDataFrame(moves, "old_shard int, first long, end long, shard int").groupBy("old_shard").agg(F.sort_array(F.collect_list(F.struct("first", "end", "shard"))).alias("ranges"))
-    placed = rows.join(F.broadcast(base), ["old_shard", "block"]).join(F.broadcast(ranges), "old_shard")
+    placed = rows.join(base.join(ranges, "old_shard"), ["old_shard", "block"])
     at = F.col("base") + F.col("inner")
     placed = placed.withColumn("range", F.element_at(F.filter("ranges", lambda r: r["first"] <= at), -1))
     parts = placed.groupBy("old_shard", "block", F.col("range.shard").alias("shard"), F.col("range.first").alias("first")).agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("low"))
     lead = F.sum("n").over(Window.partitionBy("shard").orderBy("old_shard", "first", "block")) - F.col("n")
     out = parts.withColumn("lead", lead).groupBy("old_shard", "block").agg(F.sort_array(F.collect_list(F.struct("low", "shard", "lead"))).alias("parts"))
-    changed = {i for i, _, _, j in moves if i != j} | {j for i, _, _, j in moves if i != j}
+    changed = {k for i, _, _, j in moves if i != j for k in (i, j)}
     return frozen(out, "parts"), changed | {j for j in range(shards) if j not in sizes}
 
 
-def rewrite(docs: DataFrame, shards: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", old_shard: Column | None = None, capacities: list[int] | None = None, rows_per_file: int = 65536) -> tuple[str, set[int]]:
-    """Write the new shards as folders ``shard=N`` with columns ``row`` (as it was) and ``slot``; returns the folder and the shards that change.
+def _settled(docs: DataFrame, parts: DataFrame, id_col: str, text_col: str, old_shard: Column | None, tasks: int) -> DataFrame:
+    """row, old shard, shard and slot of the rows of the blocks in ``parts``; blocks are dealt to tasks by their number."""
+    rows = _blocked(docs, id_col, text_col, old_shard).join(parts, ["old_shard", "block"])
+    order = Window.partitionBy("old_shard", "block").orderBy("id", "crc", "tie")
+    nth = rows.repartition(tasks, "old_shard", "block").withColumn("nth", F.row_number().over(order))
+    part = F.element_at(F.filter("parts", lambda x: x["low"] <= F.col("nth")), -1)
+    return nth.select("row", "old_shard", part.alias("part"), "nth").select("row", "old_shard", F.col("part.shard").alias("shard"), (F.col("part.lead") + F.col("nth") - F.col("part.low")).cast("long").alias("slot"))
+
 
-    With an explicit ``path`` only changed shards are written there: one whose rows all stay
-    and that gets none keeps its old file. Without it a fresh folder gets all shards.
+def rewrite(docs: DataFrame, shards: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", old_shard: Column | None = None, capacities: list[int] | None = None) -> tuple[DataFrame, str, set[int]]:
+    """Write the new shards that change; all rows (``row`` as it was, ``slot``, ``shard``), the folder and these shards.
+
+    They are folders ``shard=N`` with columns ``row`` and ``slot``. A shard whose rows all stay and
+    that gets none keeps its old file: its rows are read from there.
     """
     parts, changed = plan(docs, shards, id_col, text_col, old_shard, capacities)
     target = path or fresh_path(docs.sparkSession, "shards")
-    if path:
-        parts = parts.where(F.exists("parts", lambda x: x["shard"].isin(*changed)) if changed else F.lit(False))
-    head = F.col("parts")[0]
-    parts = parts.withColumns({"home": head["shard"], "file": F.floor(head["lead"] / rows_per_file)})
-    rows = _blocked(docs, id_col, text_col, old_shard).join(F.broadcast(parts), ["old_shard", "block"])
-    tasks = max(shards, -(-docs.count() // rows_per_file))
-    order = Window.partitionBy("home", "file", "old_shard", "block").orderBy("id", "crc", "tie")
-    nth = rows.repartition(tasks, "home", "file").withColumn("nth", F.row_number().over(order))
-    part = F.element_at(F.filter("parts", lambda x: x["low"] <= F.col("nth")), -1)
-    out = nth.select("row", part.alias("part"), "nth").select("row", (F.col("part.lead") + F.col("nth") - F.col("part.low")).cast("long").alias("slot"), F.col("part.shard").alias("shard"))
-    if path:
-        out = out.where(F.col("shard").isin(*changed) if changed else F.lit(False))
-    out.write.partitionBy("shard").parquet(target)
-    return target, changed
+    affected = F.col("old_shard").isin(*changed) if changed else F.lit(False)
+    # What leaves or enters a changed shard is in blocks of old shards that change.
+    tasks = max(shards, 2 * docs.rdd.getNumPartitions())
+    moved = _settled(docs, parts.where(affected), id_col, text_col, old_shard, tasks)
+    moved.drop("old_shard").write.partitionBy("shard").parquet(target)
+    kept = _settled(docs, parts.where(~affected), id_col, text_col, old_shard, tasks).select("row", "slot", "shard")
+    return read_shards(docs, target).unionByName(kept), target, changed
 
 
 def read_shards(docs: DataFrame, path: str) -> DataFrame:

@@ -6,8 +6,9 @@ shrunk towards the corpus. A prior's mean is the posterior mean one level up; it
 method-of-moments fit over the domains (hosts) of the suffix (domain's suffix). A host is blocked
 if a lower posterior bound of its bad rate, mean - z * sd, is above ``max_bad_rate``.
 
-All of it is aggregates by host, domain and suffix, joined back to the pages; counts are
-aggregated before any shuffle, so a hot host costs a row per task.
+The pages are read once for the counts of each host, which are written down; all else is aggregates
+by host, domain and suffix of these, joined back to the pages. Counts are aggregated before any
+shuffle, so a hot host costs a row per task.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and
 takes the corpus' own reputation; a host without labels takes its domain's, then its suffix's;
@@ -17,9 +18,13 @@ time. Extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import frozen
+
 #: (verdict, rule); a rule is a host, and the beginning of a path.
 RULES = (
     ("block", "com/en/"),
@@ -28,7 +33,7 @@ RULES = (
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )
-#: Suffixes of more than one label under which domains are registered.
+#: Suffixes of more than one label under which domains are registered, if a caller gives no list.
 SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in")
 
 
@@ -41,15 +46,21 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: Iterable[str] = SUFFIXES) -> Column:
     labels = F.split(host, r"\.")
-    two = F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2))
-    return F.when(two.isin(*SUFFIXES), two).otherwise(F.element_at(labels, -1))
+    last = lambda n: F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n))
+    out = F.element_at(labels, -1)
+    by_length: dict[int, list[str]] = {}
+    for s in suffixes:
+        by_length.setdefault(s.count(".") + 1, []).append(s)
+    for n, names in sorted(by_length.items()):
+        out = F.when(last(n).isin(*names), last(n)).otherwise(out)
+    return out
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: Iterable[str] = SUFFIXES) -> Column:
     labels = F.split(host, r"\.")
-    depth = F.size(F.split(suffix_of(host), r"\.")) + 1
+    depth = F.size(F.split(suffix_of(host, suffixes), r"\.")) + 1
     return F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - depth + 1, F.lit(1)), depth))
 
 
@@ -76,13 +87,18 @@ def _moments(counts: DataFrame, by: str, least: float, most: float) -> DataFrame
     return stats.select(by, strength.alias("strength"))
 
 
-def reputations(outcomes: DataFrame, least: float = 1.0, most: float = 100.0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Beta posteriors (a, b) by host, by domain, by suffix and of the corpus, from rows (host, bad)."""
-    hosts = outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
-    hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+def host_counts(outcomes: DataFrame, suffixes: Iterable[str] = SUFFIXES) -> DataFrame:
+    """Of rows (host, bad), where ``bad`` may be null: each host's labelled and bad ones, domain and suffix, written down."""
+    hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    return frozen(hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)}), "hosts")
+
+
+def reputations(counts: DataFrame, least: float = 1.0, most: float = 100.0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Beta posteriors (a, b) by host, by domain, by suffix and of the corpus, from :func:`host_counts`."""
+    hosts = counts.where("n > 0 and host <> ''")
+    domains = frozen(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    corpus = suffixes.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select((F.col("bad") + 0.5).alias("a"), (F.col("n") - F.col("bad") + 0.5).alias("b"))
+    corpus = domains.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select((F.col("bad") + 0.5).alias("a"), (F.col("n") - F.col("bad") + 0.5).alias("b"))
 
     def post(counts: DataFrame, *keys: str) -> DataFrame:
         """Prior mean ``m`` and strength ``s`` are columns of ``counts``."""
@@ -95,7 +111,7 @@ def reputations(outcomes: DataFrame, least: float = 1.0, most: float = 100.0) ->
     return low, mid.drop("suffix"), top, corpus
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad_rate: float = 0.25, z: float = 1.645, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad_rate: float = 0.25, z: float = 1.645, id_col: str = "page_id", url_col: str = "url", suffixes: Iterable[str] = SUFFIXES) -> DataFrame:
     """A row for each page: id, host, path, rule, verdict, and the posterior bound ``bad_bound``.
 
     ``outcomes`` has rows (page id, bad 0/1) of labelled pages, the id named as in ``pages``.
@@ -104,14 +120,13 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad_rate: floa
     """
     slim = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     labelled = outcomes.select(F.col(id_col).alias("page_id"), F.col("bad").cast("long").alias("bad")).where("bad is not null")
-    seen = slim.join(labelled, "page_id").where("host <> ''").select("host", "bad")
-    low, mid, top, corpus = reputations(seen)
-    hosts = slim.select("host").distinct().withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = host_counts(slim.join(labelled, "page_id", "left").select("host", "bad"), suffixes)
+    low, mid, top, corpus = reputations(hosts)
     pick = lambda x: F.coalesce(F.col(f"h.{x}"), F.col(f"d.{x}"), F.col(f"s.{x}"), corpus.select(x).scalar())
     known = hosts.alias("x").join(low.alias("h"), F.col("x.host") == F.col("h.host"), "left").join(mid.alias("d"), F.col("x.domain") == F.col("d.domain"), "left").join(top.alias("s"), F.col("x.suffix") == F.col("s.suffix"), "left")
     a, b = pick("a"), pick("b")
     bound = a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    known = known.select(F.col("x.host").alias("host"), F.greatest(bound, F.lit(0.0)).alias("bad_bound"))
+    known = frozen(known.select(F.col("x.host").alias("host"), F.greatest(bound, F.lit(0.0)).alias("bad_bound")), "reputations")
     rule = matching_rule(F.col("host"), F.col("path"), rules)
     by_rule = F.create_map(*[F.lit(x) for verdict, r in rules for x in (r, verdict)])
     return slim.join(known, "host").withColumn("rule", rule).select(

@@ -21,26 +21,47 @@ def test_flow_is_the_cheapest():
     from itertools import product
 
     rng = random.Random(1)
-    for _ in range(30):
+    for _ in range(60):
         supply, sinks = [rng.randint(0, 4) for _ in range(3)], 3
         capacity = [rng.randint(0, 4) for _ in range(sinks)]
         capacity[0] += max(0, sum(supply) - sum(capacity))
-        price = [[rng.randint(0, 3) for _ in range(sinks)] for _ in range(3)]
-        flow = resharding.min_cost_flow(supply, capacity, lambda i, j, p=price: p[i][j])
+        home = rng.choice([[0, 1, 2], [None, 0, 1], [2, None, 0], [None] * 3, [1, 2, 0]])
+        flow = resharding.min_cost_flow(supply, capacity, home)
         assert [sum(v for (i, _), v in flow.items() if i == k) for k in range(3)] == supply
         assert all(sum(v for (_, j), v in flow.items() if j == k) <= capacity[k] for k in range(sinks))
         best = None
         splits = [[s for s in product(range(n + 1), repeat=sinks) if sum(s) == n] for n in supply]
         for plan in product(*splits):
             if all(sum(row[j] for row in plan) <= capacity[j] for j in range(sinks)):
-                cost = sum(plan[i][j] * price[i][j] for i in range(3) for j in range(sinks))
+                cost = sum(plan[i][j] for i in range(3) for j in range(sinks) if home[i] != j)
                 best = cost if best is None else min(best, cost)
-        assert sum(v * price[i][j] for (i, j), v in flow.items()) == best
+        assert sum(v for (i, j), v in flow.items() if home[i] != j) == best
+
+
+def test_flow_of_very_many_shards():
+    import time
+
+    rng = random.Random(2)
+    sizes = {i: rng.randint(0, 10**9) for i in range(100_000)}
+    capacities = resharding.even_capacities(sum(sizes.values()), 60_000)
+    began = time.time()
+    moves = resharding.plan_moves(sizes, capacities)
+    assert time.time() - began < 10
+    # A byte stays only where its old shard has a new one, which has room for so many.
+    assert sum(e - a for i, a, e, j in moves if i == j) == sum(min(sizes[j], c) for j, c in enumerate(capacities))
+    assert len(moves) <= len(sizes) + 2 * len(capacities)
+    ends = {}
+    for i, a, e, _ in moves:
+        assert a == ends.get(i, 0) < e
+        ends[i] = e
+    assert {i: n for i, n in sizes.items() if n} == ends
+    with pytest.raises(ValueError):
+        resharding.plan_moves({0: 2}, [1])
 
 
 def test_rewritten_shards_hold_every_row(spark, docs, corpus):
-    path, changed = resharding.rewrite(docs, 7, old_shard=F.col("doc_id") % 3)
-    rows = spark.read.parquet(path).collect()
+    found, path, changed = resharding.rewrite(docs, 7, old_shard=F.col("doc_id") % 3)
+    rows = found.collect()
     assert sorted((r.row.doc_id, r.row.text or "") for r in rows) == sorted([*((i, t or "") for i, t in corpus.items()), (10, corpus[10])])
     assert rows[0].row.asDict().keys() == set(docs.columns)
     by = {}
@@ -54,12 +75,45 @@ def test_only_changed_shards_are_written(spark, tmp_path):
     rows = [(i, "x" * 84) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     size = 100 * 100
-    path, changed = resharding.rewrite(df, 4, path=f"file://{tmp_path}/s", old_shard=(F.col("doc_id") / 100).cast("int"), capacities=[size, size // 2, size, size])
+    whole, path, changed = resharding.rewrite(df, 4, path=f"file://{tmp_path}/s", old_shard=(F.col("doc_id") / 100).cast("int"), capacities=[size, size // 2, size, size])
     assert changed == {1, 3}
     found = spark.read.parquet(path)
     assert {r.shard for r in found.select("shard").distinct().collect()} == {1, 3} and found.count() == 100
-    _, changed = resharding.rewrite(df, 3, old_shard=(F.col("doc_id") / 100).cast("int"))
-    assert changed == set()
+    by = {}
+    for r in whole.collect():
+        by.setdefault(r.shard, []).append((r.row.doc_id, r.slot))
+    assert sorted(i for x in by.values() for i, _ in x) == list(range(300))
+    assert {j: len(x) for j, x in by.items()} == {0: 100, 1: 50, 2: 100, 3: 50}
+    assert all(sorted(s for _, s in x) == list(range(len(x))) for x in by.values()) and {i for i, _ in by[2]} == set(range(200, 300))
+    whole, _, changed = resharding.rewrite(df, 3, old_shard=(F.col("doc_id") / 100).cast("int"))
+    assert changed == set() and whole.count() == 300
+
+
+def test_odd_rows_get_slots(spark):
+    """Null ids, rows that repeat all of a row, and more shards than rows."""
+    rows = [(None, "a"), (None, "a"), (1, None), (1, None), (2, "b"), (2, "b"), (2, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = resharding.rewrite(df, 12, old_shard=F.lit(0))[0].select("row.*", "slot", "shard").collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in got) == sorted((str(i), t or "") for i, t in rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in by.values()) and max(by) < 12
+
+
+def test_query_has_even_shards_and_gapless_slots(spark, sf_dir):
+    rows = queries.op5_resharding(spark, sf_dir).collect()
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    by = {}
+    for r in rows:
+        assert (r.size, r.text_crc32) == (len(docs[r.doc_id].encode()) + 16, zlib.crc32(docs[r.doc_id].encode()))
+        by.setdefault(r.shard, []).append((r.slot, r.size))
+    assert set(by) <= set(range(40)) and all(sorted(s for s, _ in x) == list(range(len(x))) for x in by.values())
+    even, largest = sum(r.size for r in rows) / 40, max(r.size for r in rows)
+    loads = [sum(n for _, n in by.get(j, [])) for j in range(40)]
+    # A shard is off by less than a row at each end of each range that it gets.
+    assert max(loads) <= even + 2 * largest and min(loads) >= even - 2 * largest
 
 
 def test_query_of_an_empty_table(spark, empty, tmp_path):
@@ -158,6 +212,44 @@ def test_random_keys_of_small_letters_and_digits_are_reported(spark):
     assert added == {i: [(3, 3 + len(v))] if i < len(keys) else [] for i, v in enumerate(keys + paths)}
 
 
+def test_long_candidates_and_many_matches_take_seconds(spark):
+    import time
+
+    rng, letters = random.Random(4), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    blob = "".join(rng.choices(letters.replace("x", "").replace("X", ""), k=1_000_000))
+    slug, path = "word" + "-abc1" * 20_000, "/abc1" * 20_000 + "/"
+    many = " ".join(f"token={'ab' * 5}{i:07d} {rng.getrandbits(128):032x} x{''.join(rng.choices(letters[:62], k=24))}" for i in range(17_000))
+    jwt = "token=" + ".".join("".join(rng.choices(letters[:62], k=30)) for _ in range(5))
+    texts = [blob, slug, path, many, jwt, "=" * 200_000, "token=" * 50_000]
+    began = time.time()
+    rows = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()}
+    assert time.time() - began < 90
+    for i, t in enumerate(texts):
+        assert sorted((s.start, s.kind, s.end) for s in rows[i].base) == base_spans(t)
+    added = {i: [(s.start, s.end) for s in r.added] for i, r in rows.items()}
+    assert added[0] == [(0, 1_000_000)] and added[1] == added[2] == added[4] == added[5] == added[6] == []
+    assert len(rows[3].base) >= 34_000 and len(added[3]) > 15_000
+
+
+def test_overlaps_match_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(200):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randint(0, 10)))
+        a = rng.randint(0, 60)
+        rows.append((cuts[::2], cuts[1::2], a, a + rng.randint(1, 15)))
+    df = spark.createDataFrame(rows, "starts array<int>, ends array<int>, a int, b int")
+    got = df.select("*", secrets.overlaps(F.struct(F.col("a").alias("start"), F.col("b").alias("end")), F.col("starts"), F.col("ends")).alias("met")).collect()
+    for r in got:
+        assert r.met == any(s < r.b and r.a < e for s, e in zip(r.starts, r.ends))
+
+
+def test_mixed_letters_need_high_entropy(spark):
+    texts = ["QwErTyUiOpAsDfGhJkLz xx", "ThisIsAnIdentifierOfManyWords", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa", "1234567890123456789012345"]
+    added = {r.doc_id: len(r.added) for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert added == {0: 1, 1: 0, 2: 0, 3: 0}
+
+
 def test_scan_of_an_empty_table(empty):
     assert secrets.scan(empty).count() == 0
 
@@ -181,10 +273,16 @@ def test_rules_and_reputations(spark):
 
 def test_posteriors_shrink(spark):
     out = spark.createDataFrame([("a.x.com", 1)] * 1 + [("b.x.com", 0)] * 50 + [("c.y.com", 1)] * 50, "host string, bad long")
-    low = {r.host: r.a / (r.a + r.b) for r in url_filter.reputations(out)[0].collect()}
+    low = {r.host: r.a / (r.a + r.b) for r in url_filter.reputations(url_filter.host_counts(out))[0].collect()}
     assert low["b.x.com"] < 0.1 < low["a.x.com"] < low["c.y.com"]
 
 
+def test_suffixes_are_a_parameter(spark):
+    df = spark.createDataFrame([("a.b.c.example.city.jp",), ("x.co.uk",), ("com",)], "h string")
+    got = df.select(url_filter.suffix_of(F.col("h"), ["city.jp", "example.city.jp"]), url_filter.domain_of(F.col("h"), ["city.jp", "example.city.jp"])).collect()
+    assert [tuple(r) for r in got] == [("example.city.jp", "c.example.city.jp"), ("uk", "co.uk"), ("com", "com")]
+
+
 def test_no_labels_and_no_pages(spark):
     none = spark.createDataFrame([], "page_id long, bad int")
     pages = spark.createDataFrame([(1, "http://a.b/c"), (1, "http://a.b/c")], "page_id long, url string")
