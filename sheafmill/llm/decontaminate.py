@@ -3,16 +3,19 @@
 Passages are windows of words, twice as long as the longest item and half overlapping, so an
 item that occurs lies within one. An item's impacts are divided by its score against itself, so a
 score is the share of the item, by weight, that a passage has. Block-max WAND returns every item
-above ``threshold``: lists are skipped by their largest impacts, then by those of their blocks. The
-coarsest skip is made for all passages of a batch at once: the maxima of small ranges of items are
-added up, and a passage only asks the ranges that may reach the threshold, of the terms in them.
+of a score of ``threshold`` or more: a passage's cursors are kept in the order of their items, the
+pivot is the first item up to which the lists' largest impacts add up to the threshold, and it is
+only scored if the maxima of the blocks that it falls into do so as well; else all cursors skip
+to the end of the nearest of these blocks. The passages of a batch are searched at once, each
+with its own cursors and pivots, as rows of arrays; what that takes depends on the passages and
+their words, not on the number of items.
 
 What is retrieved is verified: of the item's question (all sentences but the last; of a single
 sentence the first two thirds) and of its answer (the rest), a share ``overlap`` of the word
 trigrams must be in the passage, each.
 
 The index is broadcast. It holds at most ``block_items`` items; more items make more indexes,
-each of which reads the documents' words again. All have the statistics of all items, so the
+made one after another, each of which reads the documents' words again. All have the statistics of all items, so the
 number of indexes changes no result.
 
 Defined cases: a null text, an empty one, or an item without words matches nothing; an item
@@ -25,7 +28,6 @@ otherwise.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import repeat
@@ -38,8 +40,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 K1, B = 1.2, 0.75
-#: Postings of a block; and items of a range whose maxima are added up for all passages at once.
-BLOCK, RANGE = 64, 1
+#: Postings of a block; passages that are searched at once; rows of documents handled at once.
+BLOCK, PASSAGES, ROWS = 64, 1024, 128
+#: What scores may be off by, as sums of floating-point numbers.
+SLACK = 1e-9
 _word = re.compile(r"\w+").findall
 _sentence = re.compile(r"(?<=[.!?])\s+")
 
@@ -111,155 +115,134 @@ class Index:
             whole = sum(impacts.values())
             for w, x in impacts.items():
                 postings[self.vocabulary[w]].append((item, x / whole))
-        self.items = [[i for i, _ in p] for p in postings]
-        self.impacts = [[x for _, x in p] for p in postings]
-        self.blocks = [[max(x[k : k + BLOCK]) for k in range(0, len(x), BLOCK)] for x in self.impacts]
-        #: The largest impact of each term; the last is that of a word that isn't in the index.
-        self.most = np.array([max(x) for x in self.impacts] + [0.0])
-        # Maxima by range of items, as rows (term, range); a term of very many ranges counts with its maximum in each.
-        self.ranges = max(1, -(-len(self.ids) // RANGE))
-        cells = [{} for _ in self.items]
-        for cell, own, impact in zip(cells, self.items, self.impacts, strict=True):
-            for item, x in zip(own, impact, strict=True):
-                cell[item // RANGE] = max(cell.get(item // RANGE, 0.0), x)
-        self.dense = np.array([len(c) > max(2, self.ranges // 4) for c in cells] + [False], bool)
-        rows = [() if d else sorted(c.items()) for c, d in zip(cells, self.dense, strict=False)]
-        self.at = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
-        self.range_of = np.array([k for r in rows for k, _ in r], np.int64)
-        self.range_most = np.array([x for r in rows for _, x in r], np.float64)
+        postings.append([])  # of a word that isn't in the index
+        n, terms = len(self.ids), len(postings)
+        lengths = np.array([len(x) for x in postings], np.int64)
+        #: Postings lie one list after another; a key is term * (n + 1) + item, so keys are in order throughout.
+        self.start = np.cumsum(lengths) - lengths
+        self.stop = self.start + lengths
+        self.item = np.array([i for x in postings for i, _ in x], np.int64)
+        self.impact = np.array([v for x in postings for _, v in x], np.float64)
+        self.key = np.repeat(np.arange(terms), lengths) * (n + 1) + self.item
+        #: Each list's blocks: where the first is, how many, their largest impacts, and the keys of their last items.
+        self.blocks = -(-lengths // BLOCK)
+        self.first_block = np.cumsum(self.blocks) - self.blocks
+        heads = np.repeat(self.start, self.blocks) + BLOCK * (np.arange(int(self.blocks.sum())) - np.repeat(self.first_block, self.blocks))
+        self.block_most = np.maximum.reduceat(self.impact, heads) if len(heads) else np.zeros(0)
+        self.block_key = self.key[np.minimum(heads + BLOCK, np.repeat(self.stop, self.blocks)) - 1] if len(heads) else np.zeros(0, np.int64)
+        self.most = np.zeros(terms)
+        if len(self.impact):
+            some = np.flatnonzero(lengths)
+            self.most[some] = np.maximum.reduceat(self.impact, self.start[some])
 
     def term_ids(self, tokens: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, tokens, repeat(-1)), np.int64, len(tokens))
 
-    def search(self, terms: list[int], threshold: float, begin: int = 0, end: int | None = None) -> list[tuple[int, float]]:
-        """All items (from ``begin`` to ``end``) of a score of ``threshold`` or more for distinct terms, by block-max WAND."""
-        out: list[tuple[int, float]] = []
-        end = len(self.ids) if end is None else end
-        # A cursor: [present item, term, place in its list]
-        cursors = []
-        for t in terms:
-            place = bisect_left(self.items[t], begin) if begin else 0
-            if place < len(self.items[t]):
-                cursors.append([self.items[t][place], t, place])
-        slack = 1e-9
-
-        def advance(cursor: list[int], item: int) -> None:
-            own, place = self.items[cursor[1]], cursor[2]
-            step = 1
-            while place + step < len(own) and own[place + step] < item:  # gallop, then halve
-                step *= 2
-            low, high = place + step // 2, min(place + step, len(own))
-            while low < high:
-                middle = (low + high) // 2
-                if own[middle] < item:
-                    low = middle + 1
-                else:
-                    high = middle
-            cursor[2] = low
-            cursor[0] = own[low] if low < len(own) else end
-
-        while cursors:
-            cursors.sort()
-            while cursors and cursors[-1][0] >= end:
-                cursors.pop()
-            bound, pivot = 0.0, -1
-            for k, (_, term, _) in enumerate(cursors):
-                bound += self.most[term]
-                if bound >= threshold - slack:
-                    pivot = k
-                    break
-            if pivot < 0:
-                break
-            item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            near = 0.0
-            reach = end
-            for _, term, place in cursors[: pivot + 1]:
-                own, block = self.items[term], place // BLOCK
-                while (block + 1) * BLOCK <= len(own) and own[(block + 1) * BLOCK - 1] < item:
-                    block += 1
-                if block < len(self.blocks[term]):
-                    near += self.blocks[term][block]
-                    reach = min(reach, own[min((block + 1) * BLOCK, len(own)) - 1] + 1)
-            if near >= threshold - slack:
-                if cursors[0][0] == item:
-                    score = sum(self.impacts[t][p] for _, t, p in cursors[: pivot + 1])
-                    if score >= threshold - slack:
-                        out.append((item, score))
-                    for cursor in cursors[: pivot + 1]:
-                        advance(cursor, item + 1)
-                else:
-                    for cursor in cursors[: pivot + 1]:
-                        if cursor[0] < item:
-                            advance(cursor, item)
-            else:  # no item before the end of the nearest block can do
-                stop = max(item + 1, min(reach, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else end))
-                for cursor in cursors[: pivot + 1]:
-                    advance(cursor, stop)
-        return out
-
-    def passages(self, texts: list[str | None], threshold: float) -> Iterator[tuple[int, int, list[str], list[int], int]]:
-        """(text, first word, words, terms, range) of the passages and ranges of items that may reach the threshold."""
-        if not self.ids:
-            return
-        tokens = [words(t) for t in texts]
+    def search(self, which: np.ndarray, terms: np.ndarray, threshold: float, seen: Counter | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, item, score) of all items of a score of ``threshold`` or more, by block-max WAND.
+
+        The passages' distinct terms are given as pairs, sorted by passage. ``seen`` counts the
+        items that were scored and the blocks' ends that were skipped to.
+        """
+        none, least = len(self.ids), threshold - SLACK
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        heads = np.flatnonzero(np.r_[True, which[1:] != which[:-1]]) if len(which) else np.zeros(0, np.int64)
+        # Without enough weight in all lists together there is no first pivot.
+        enough = np.add.reduceat(self.most[terms], heads) >= least if len(heads) else np.zeros(0, bool)
+        begin, sizes = heads[enough], np.diff(np.r_[heads, len(which)])[enough]
+        for low in range(0, len(begin), PASSAGES):
+            n = sizes[low : low + PASSAGES]
+            width = np.arange(int(n.max()))[None, :]
+            filled = width < n[:, None]
+            term = np.where(filled, terms[np.where(filled, begin[low : low + PASSAGES, None] + width, 0)], len(self.most) - 1)
+            place, weight = self.start[term], self.most[term]
+            item = np.where(place < self.stop[term], self.item[np.minimum(place, len(self.item) - 1)], none)
+            rows = which[begin[low : low + PASSAGES]]
+            bits = max(1, int(n.max()) - 1).bit_length()
+            kind = np.int32 if none << bits < 1 << 31 else np.int64
+            item, width = item.astype(kind), width.astype(kind)
+            while len(rows):
+                # Cursors in the order of their items, as the item and the cursor's column in one number.
+                order = np.sort(item << bits | width, axis=1)
+                reached = np.cumsum(np.take_along_axis(weight, order & (1 << bits) - 1, 1), axis=1) >= least
+                pivot = np.take_along_axis(order, reached.argmax(axis=1)[:, None], 1)[:, 0] >> bits
+                alive = reached[:, -1] & (pivot < none)
+                if not alive.all():
+                    item, term, place, weight, pivot, rows = (x[alive] for x in (item, term, place, weight, pivot, rows))
+                    if not len(rows):
+                        break
+                inside = item <= pivot[:, None]
+                r, c = np.nonzero(inside)
+                t, d, p = term[r, c], pivot[r], place[r, c]
+                # The block of each list in which the pivot would be, if the list goes on that far.
+                block = self.first_block[t]
+                many = self.blocks[t] > 1
+                if many.any():
+                    block[many] = np.searchsorted(self.block_key, t[many] * (none + 1) + d[many])
+                in_list = block < self.first_block[t] + self.blocks[t]
+                block = np.where(in_list, block, 0)
+                ends = self.block_key[block] - t * (none + 1)
+                in_list &= ends >= d
+                each = inside.sum(axis=1)  # a row has its pivot at least
+                starts = np.cumsum(each) - each
+                near = np.add.reduceat(np.where(in_list, self.block_most[block], 0.0), starts)
+                scored = near >= least
+                # Where to go on: after the pivot, or after the nearest end of a block if no item before it can do.
+                reach = np.minimum(np.minimum.reduceat(np.where(in_list, ends + 1, none), starts), np.where(inside, none, item).min(axis=1))
+                target = np.where(scored, pivot + 1, np.maximum(reach, pivot + 1))
+                to = target[r]
+                # A list's last posting needs no search.
+                last = self.stop[t] - p == 1
+                moved = np.where(self.item[p] < to, p + 1, p)
+                moved[~last] = np.searchsorted(self.key, t[~last] * (none + 1) + to[~last])
+                before = moved - 1
+                hit = scored[r] & (before >= self.start[t]) & (self.item[np.maximum(before, 0)] == d)
+                score = np.add.reduceat(np.where(hit, self.impact[before], 0.0), starts)
+                found = np.flatnonzero(scored & (score >= least))
+                out.append((rows[found], pivot[found], score[found]))
+                if seen is not None:
+                    seen.update(scored=int(scored.sum()), skipped=int((~scored).sum()))
+                more = moved < self.stop[t]
+                place[r, c] = moved
+                item[r, c] = np.where(more, self.item[np.where(more, moved, 0)], none)
+        return tuple(np.concatenate([x[k] for x in out]) for k in range(3))
+
+    def passages(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The passages of tokenised texts as sorted pairs (passage, term) of known words; each passage's text and first word."""
         step, n_terms = self.longest, len(self.most)
         sizes = np.array([len(t) for t in tokens], np.int64)
         ids = np.concatenate([self.term_ids(t) for t in tokens]) if len(tokens) else np.zeros(0, np.int64)
         begin = np.cumsum(sizes) - sizes
         counts = -(-sizes // step)  # passages of each text; the k-th begins at word k * step
         first = np.cumsum(counts) - counts
-        n = int(counts.sum())
-        text = np.repeat(np.arange(len(tokens)), sizes)
-        passage = first[text] + (np.arange(len(ids)) - begin[text]) // step
-        known = ids >= 0
-        ids, passage, text = ids[known], passage[known], text[known]
+        owner = np.repeat(np.arange(len(tokens)), counts)
+        known = np.flatnonzero(ids >= 0)
+        text = np.searchsorted(begin, known, "right") - 1
+        passage = first[text] + (known - begin[text]) // step
         # A word is in the passage that begins before it and in the one before that.
         back = passage > first[text]
-        pairs = np.unique(np.concatenate([passage, passage[back] - 1]) * n_terms + np.concatenate([ids, ids[back]]))
-        passage, term = pairs // n_terms, pairs % n_terms
-        wide = self.dense[term]
-        common, common_at = term[wide], np.searchsorted(passage[wide], np.arange(n + 1))
-        bonus = np.bincount(passage[wide], weights=self.most[common], minlength=n)
-        which, rare = passage[~wide], term[~wide]
-        low, many = self.at[rare], self.at[rare + 1] - self.at[rare]
-        row = np.repeat(low, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-        cell = np.repeat(which, many) * self.ranges + self.range_of[row]
-        order = np.argsort(cell)
-        cell, row_term = cell[order], np.repeat(rare, many)[order]
-        heads = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-        bound = np.add.reduceat(self.range_most[row[order]], heads) if len(cell) else np.zeros(0)
-        stops = np.r_[heads[1:], len(cell)]
-        # A passage of common words alone could only match by them.
-        for k in np.flatnonzero(bonus >= threshold - 1e-6).tolist():
-            t = int(np.searchsorted(first, k, "right")) - 1
-            start = (k - int(first[t])) * step
-            near = slice(*np.searchsorted(which, [k, k + 1]).tolist())
-            for r in range(self.ranges):
-                yield t, start, tokens[t][start : start + 2 * step], [*common[common_at[k] : common_at[k + 1]].tolist(), *rare[near].tolist()], r
-        passes = (bound + bonus[cell[heads] // self.ranges] >= threshold - 1e-6) & (bonus[cell[heads] // self.ranges] < threshold - 1e-6)
-        for h in np.flatnonzero(passes).tolist():
-            k, r = divmod(int(cell[heads[h]]), self.ranges)
-            t = int(np.searchsorted(first, k, "right")) - 1
-            start = (k - int(first[t])) * step
-            terms = [*row_term[heads[h] : stops[h]].tolist(), *common[common_at[k] : common_at[k + 1]].tolist()]
-            yield t, start, tokens[t][start : start + 2 * step], terms, r
+        pairs = np.unique(np.concatenate([passage, passage[back] - 1]) * n_terms + np.concatenate([ids[known], ids[known][back]]))
+        return pairs // n_terms, pairs % n_terms, owner, (np.arange(len(owner)) - first[owner]) * step
 
     def hits(self, texts: list[str | None], threshold: float, overlap: float) -> list[list[dict]]:
         """Verified items of each text, each once, by its best passage, the first of equals."""
         best: list[dict[int, dict]] = [{} for _ in texts]
-        for t, passage_at, passage, terms, r in self.passages(texts, threshold):
-            for item, score in self.search(terms, threshold, r * RANGE, min((r + 1) * RANGE, len(self.ids))):
-                question, answer = self.parts[item]
-                q, a = share_in(question, passage), share_in(answer, passage)
-                if q >= overlap and a >= overlap and (item not in best[t] or (score, -passage_at) > (best[t][item]["score"], -best[t][item]["passage"])):
-                    best[t][item] = {"item_id": self.ids[item], "passage": passage_at, "score": score, "question": q, "answer": a}
+        if not self.ids:
+            return [[] for _ in texts]
+        tokens = [words(t) for t in texts]
+        which, terms, owner, begin = self.passages(tokens)
+        for k, item, score in zip(*(x.tolist() for x in self.search(which, terms, threshold)), strict=True):
+            t, at = int(owner[k]), int(begin[k])
+            passage = tokens[t][at : at + 2 * self.longest]
+            question, answer = self.parts[item]
+            q, a = share_in(question, passage), share_in(answer, passage)
+            if q >= overlap and a >= overlap and (item not in best[t] or (score, -at) > (best[t][item]["score"], -best[t][item]["passage"])):
+                best[t][item] = {"item_id": self.ids[item], "passage": at, "score": score, "question": q, "answer": a}
         return [[b[i] for i in sorted(b)] for b in best]
 
 
-def indexes(benchmark: DataFrame, block_items: int = 50_000) -> list[Index]:
-    """An index for each block of items; one block's items at a time are on the driver.
+def indexes(benchmark: DataFrame, block_items: int = 50_000) -> Iterator[Index]:
+    """An index for each block of items, one at a time; besides it the driver has the items' document frequencies.
 
     Scores and passages are those of one index of all items: the blocks share their statistics.
     """
@@ -267,7 +250,8 @@ def indexes(benchmark: DataFrame, block_items: int = 50_000) -> list[Index]:
     blocks = max(1, -(-items.count() // block_items))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     known = Statistics(r.text for r in items.select("text").toLocalIterator()) if blocks > 1 else None
-    return [Index([tuple(r) for r in items.where(part == k).collect()], known) for k in range(blocks)]
+    for k in range(blocks):
+        yield Index([tuple(r) for r in items.where(part == k).collect()], known)
 
 
 _HIT = pa.struct([("item_id", pa.int64()), ("passage", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
@@ -284,8 +268,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for start in range(0, whole.num_rows, 128):
-                    batch = whole.slice(start, 128)
+                for start in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(start, ROWS)
                     hits = held.value.hits(batch.column(1).to_pylist(), threshold, overlap)
                     found = [sorted((old or []) + new, key=lambda h: (h["item_id"] is not None, h["item_id"] or 0)) for old, new in zip(batch.column(2).to_pylist(), hits, strict=True)]
                     yield pa.record_batch([batch.column(0).cast(schema.field(0).type), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(_HIT))], schema=schema)
@@ -302,8 +286,8 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, ov
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for start in range(0, whole.num_rows, 128):
-                    batch = whole.slice(start, 128)
+                for start in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(start, ROWS)
                     yield batch.filter(pa.array([not found for found in held.value.hits(batch.column(place).to_pylist(), threshold, overlap)], pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
