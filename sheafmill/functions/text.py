@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Literals that stand for "no value", and words that an index leaves out.
+# Literals that stand for "no value", words that an index leaves out, months, font
+# names of bold type, numbers.
 NULLISH = ("", "null", "none", "n/a", "na", "?", "-", "—", "–", "nan")
 STOPWORDS = ("a", "an", "the", "and", "or", "of", "to", "in", "on", "for", "is", "are", "was", "were", "be", "by", "with", "as", "at", "it", "this", "that", "from", "all")
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+BOLD = r"(?i)bold|black|heavy|semibold"
 NUMBER = r"^(?:[-+]?\d[\d,]*(?:\.\d+)?%?|[-+]?\.\d+%?)$"
 
 
@@ -72,6 +74,7 @@ def parse_date(x: Column) -> Column:
     """Struct (iso, flag): an unambiguous date as ISO text, or why there is none."""
     t = strip(x)
     part = lambda pattern, i: F.regexp_extract(t, pattern, i)
+    # The ways that dates are written.
     year_first = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$"
     day_name = r"^(\d{1,2})\s+([A-Za-z]{3,9})\.?,?\s+(\d{4})$"
     name_day = r"^([A-Za-z]{3,9})\.?\s+(\d{1,2}),?\s+(\d{4})$"
@@ -102,8 +105,14 @@ def line_signature(line: Column) -> Column:
     return F.regexp_replace(F.lower(strip(line)), r"(?U)\d+", "#")
 
 
+# A line that is a page's number, and what index terms and sentences are.
+PAGE_NUMBER = r"(?iU)^\s*(?:page\s*)?\d+(?:\s*(?:/|of)\s*\d+)?\s*$"
+TERM, TERM_PARTS = r"[a-z0-9]+(?:[-_./][a-z0-9]+)*", "[-_./]"
+SENTENCE_ENDS = r"(?U)(?<=[.!?;])\s+|\n+"
+
+
 def is_page_number(line: Column) -> Column:
-    return line.rlike(r"(?iU)^\s*(?:page\s*)?\d+(?:\s*(?:/|of)\s*\d+)?\s*$")
+    return line.rlike(PAGE_NUMBER)
 
 
 def plain_text(x: Column) -> Column:
@@ -129,8 +138,8 @@ def tidy(x: Column) -> Column:
 
 def tokens(x: Column) -> Column:
     """Index terms: compounds such as ``r-1841-a`` and also their parts, without stop words."""
-    found = F.regexp_extract_all(F.lower(x), F.lit(r"[a-z0-9]+(?:[-_./][a-z0-9]+)*"), F.lit(0))
-    parts = F.flatten(F.transform(found, lambda t: F.when(t.rlike("[-_./]"), F.concat(F.array(t), F.split(t, "[-_./]"))).otherwise(F.array(t))))
+    found = F.regexp_extract_all(F.lower(x), F.lit(TERM), F.lit(0))
+    parts = F.flatten(F.transform(found, lambda t: F.when(t.rlike(TERM_PARTS), F.concat(F.array(t), F.split(t, TERM_PARTS))).otherwise(F.array(t))))
     return F.filter(parts, lambda t: ~t.isin(*STOPWORDS))
 
 
@@ -141,7 +150,7 @@ def token_cost(x: Column) -> Column:
 
 
 def sentences(x: Column) -> Column:
-    return F.filter(F.split(x, r"(?U)(?<=[.!?;])\s+|\n+"), lambda s: strip(s) != "")
+    return F.filter(F.split(x, SENTENCE_ENDS), lambda s: strip(s) != "")
 
 
 def ground_form(x: Column) -> Column:

@@ -146,15 +146,17 @@ def _assign(names: list[str], aliases: dict[str, tuple[str, ...]]) -> dict[str,
 
 
 def match_columns(tables: DataFrame, aliases: dict[str, tuple[str, ...]], name: str) -> DataFrame:
-    """Adds ``name``, a map of field to column place. It is worked out once for each distinct header."""
+    """Adds ``name``, a map of field to column place. A batch works it out once for each header."""
 
     @F.pandas_udf("map<string,int>")
     def assigned(headers: pd.Series) -> pd.Series:
-        return headers.map(lambda h: _assign(list(h), aliases))
+        known: dict[tuple, dict[str, int]] = {}
+        keys = [tuple(h) for h in headers]
+        for key in set(keys):
+            known[key] = _assign(list(key), aliases)
+        return pd.Series([known[k] for k in keys], index=headers.index)
 
-    keyed = tables.withColumn("__names", F.transform("columns", T.norm_name))
-    known = keyed.select("__names").distinct().withColumn(name, assigned("__names"))
-    return keyed.join(known, "__names").drop("__names")
+    return tables.withColumn(name, assigned(F.transform("columns", T.norm_name)))
 
 
 def cell(row: Column, mapping: Column, field: str) -> Column:
@@ -275,6 +277,28 @@ def _continues(last: dict, new: dict) -> bool:
     return last["bottom"] >= last["page_height"] - _MARGIN and new["top"] <= _MARGIN
 
 
+def stitched(group: list[dict]) -> list[dict]:
+    """One document's body tables in order, those that page breaks cut put together (in the first's mapping)."""
+    done: list[dict] = []
+    for new in group:
+        new |= {"merged_parts": 1, "part_titles": []}
+        for side in ("x0", "x1", "top", "bottom", "page_height"):
+            new[side] = new[side] or 0.0
+        last = done[-1] if done else None
+        if last is None or not _continues(last, new):
+            done.append(new)
+            continue
+        if new["has_header"] and not last["has_header"] and new["header_row"] is not None:
+            last["rows"].append(list(new["header_row"]))  # it was a row of data
+        last["rows"] += new["rows"]
+        last["pages"] = sorted({*last["pages"], *new["pages"]})
+        last["bottom"] = new["bottom"]
+        last["merged_parts"] += 1
+        if new["title"] or new["heading"]:
+            last["part_titles"].append(new["title"] or new["heading"])
+    return done
+
+
 def stitch(tables: DataFrame) -> DataFrame:
     """Joins tables that page breaks cut, document by document, in order of element_no.
 
@@ -285,27 +309,6 @@ def stitch(tables: DataFrame) -> DataFrame:
     """
     schema = tables.withColumns({"merged_parts": F.lit(1), "part_titles": F.array().cast("array<string>")}).schema
     plain = tables.where("kind <> 'body'").withColumns({"merged_parts": F.lit(1), "part_titles": F.array().cast("array<string>")})
-
-    def fold(group: list[dict]) -> list[dict]:
-        done: list[dict] = []
-        for new in group:
-            new |= {"merged_parts": 1, "part_titles": []}
-            for side in ("x0", "x1", "top", "bottom", "page_height"):
-                new[side] = new[side] or 0.0
-            last = done[-1] if done else None
-            if last is None or not _continues(last, new):
-                done.append(new)
-                continue
-            if new["has_header"] and not last["has_header"] and new["header_row"] is not None:
-                last["rows"].append(list(new["header_row"]))  # it was a row of data
-            last["rows"] += new["rows"]
-            last["pages"] = sorted({*last["pages"], *new["pages"]})
-            last["bottom"] = new["bottom"]
-            last["merged_parts"] += 1
-            if new["title"] or new["heading"]:
-                last["part_titles"].append(new["title"] or new["heading"])
-        return [{k: v for k, v in t.items() if k != "names"} for t in done]
-
     body = tables.where("kind = 'body'").withColumn("names", F.transform("columns", T.norm_name))
-    stitched = fold_groups(body, ["doc_id"], ["element_no"], schema, fold)
-    return stitched.unionByName(plain)
+    joined = fold_groups(body, ["doc_id"], ["element_no"], schema, lambda group: [{k: v for k, v in t.items() if k != "names"} for t in stitched(group)])
+    return joined.unionByName(plain)

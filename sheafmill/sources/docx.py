@@ -6,11 +6,12 @@ import io
 import zipfile
 from xml.etree import ElementTree
 
-from .excel import clean_cell, norm_name, unique_columns
+from .cells import header_key, one_line, read_grid
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-_NULLISH = {"", "null", "none", "n/a", "na", "?", "-", "—", "–", "nan"}
 SHORT = 100
+#: Pixels below which a picture is an icon, and least characters of text that one is kept for.
+PIXELS, PICTURE_CHARS = 40_000, 20
 
 
 def _text(node) -> str:
@@ -48,30 +49,27 @@ def _grid(table) -> tuple[list[list[str]], bool]:
     rows = []
     nodes = table.findall(f"{_W}tr")
     for node in nodes:
-        rows.append([clean_cell("\n".join(_text(p) for p in c.iter(f"{_W}p"))) for c in node.findall(f"{_W}tc")])
+        rows.append([one_line("\n".join(_text(p) for p in c.iter(f"{_W}p"))) for c in node.findall(f"{_W}tc")])
     flagged = bool(nodes) and nodes[0].find(f"{_W}trPr/{_W}tblHeader") is not None
     return rows, flagged
 
 
-def _is_label(cell: str) -> bool:
-    import re
-
-    return cell.lower() not in _NULLISH and len(cell) <= 40 and not re.fullmatch(r"[-+]?\d[\d,]*(?:\.\d+)?%?|[-+]?\.\d+%?", cell)
-
-
-def read_grid(raw: list[list[str]], flagged: bool = False) -> dict | None:
-    """Title, columns, has_header, header_row and rows of a grid; None if it is empty."""
-    rows = [r for r in raw if any(r)]
-    if not rows:
-        return None
-    width = max(map(len, rows))
-    rows = [r + [""] * (width - len(r)) for r in rows]
-    title = None
-    if width > 1 and len(rows) > 1 and sum(map(bool, rows[0])) == 1 or width == 1 and len(rows) > 2:
-        title, rows = next(c for c in rows[0] if c), rows[1:]
-    labels = width > 1 and len(rows) > 1 and all(map(_is_label, rows[0]))
-    header = rows[0] if labels or (flagged and width > 1 and rows) else None
-    return {"title": title, "has_header": header is not None, "header_row": header, "columns": unique_columns(header) if header else [f"col_{i + 1}" for i in range(width)], "rows": rows[1:] if header else rows}
+def picture_pixels(content: bytes) -> int | None:
+    """Width times height by the head of a PNG, GIF, BMP or JPEG; None of anything else."""
+    number = lambda a, b, order="big": int.from_bytes(content[a:b], order)
+    if content[:8] == b"\x89PNG\r\n\x1a\n":
+        return number(16, 20) * number(20, 24)
+    if content[:4] == b"GIF8":
+        return number(6, 8, "little") * number(8, 10, "little")
+    if content[:2] == b"BM":
+        return number(18, 22, "little") * abs(int.from_bytes(content[22:26], "little", signed=True))
+    at = 2 if content[:2] == b"\xff\xd8" else len(content)
+    while at + 9 < len(content) and content[at] == 0xFF:
+        kind = content[at + 1]
+        if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            return number(at + 5, at + 7) * number(at + 7, at + 9)
+        at += 2 + number(at + 2, at + 4)
+    return None
 
 
 def parse(path: str, content: bytes, recognise=None) -> list[dict]:
@@ -108,7 +106,7 @@ def parse(path: str, content: bytes, recognise=None) -> list[dict]:
                     caption = out[-1]["text"]
                 flush()
                 last = out[-1] if out else None
-                goes_on = last is not None and last["element_type"] == "table" and found["has_header"] and last["has_header"] and found["title"] is None and caption is None and [norm_name(c) for c in last["columns"]] == [norm_name(c) for c in found["columns"]]
+                goes_on = last is not None and last["element_type"] == "table" and found["has_header"] and last["has_header"] and found["title"] is None and caption is None and [header_key(c) for c in last["columns"]] == [header_key(c) for c in found["columns"]]
                 if goes_on:
                     last["rows"] += found["rows"]
                     last["merged_parts"] += 1
@@ -118,8 +116,10 @@ def parse(path: str, content: bytes, recognise=None) -> list[dict]:
         flush()
         if recognise is not None:
             for name in sorted(n for n in archive.namelist() if n.startswith("word/media/")):
-                text = recognise(archive.read(name))
-                if len(text) >= 20:
+                picture = archive.read(name)
+                pixels = picture_pixels(picture)
+                text = recognise(picture) if pixels is None or pixels >= PIXELS else ""
+                if len(text) >= PICTURE_CHARS:
                     add(text, kind="ocr_text", where="Embedded image")
     for number, table in enumerate((e for e in out if e["element_type"] == "table"), 1):
         table["table_id"] = f"t{number:03d}"

@@ -10,57 +10,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import ELEMENT
-from . import docx, excel, ocr
+from . import docx, excel, ocr, pdf
 
 Parser = Callable[[str, bytes], list[dict]]
-#: Resolution at which pages are read by OCR, and characters below which a page counts as a scan.
-DPI, SCAN_CHARS = 300, 40
 _COLUMNS = [c.split()[0] for c in ELEMENT.split(", ")]
 
 
-def _pictures(page) -> list[str]:
-    """Text of a page that is a scan, or else of its larger pictures."""
-
-    def read(part) -> str:
-        try:
-            part.to_image(resolution=DPI).original.save(out := io.BytesIO(), "PNG")
-        except Exception:
-            return ""
-        return ocr.read(out.getvalue())
-
-    width, height, n_chars = float(page.width), float(page.height), len((page.extract_text() or "").strip())
-    share = lambda i: (i["x1"] - i["x0"]) * (i["bottom"] - i["top"]) / max(width * height, 1)
-    if n_chars < SCAN_CHARS or (n_chars < 300 and max(map(share, page.images), default=0) >= 0.45):
-        return [x for x in [read(page)] if x]
-    large = [(max(0, i["x0"]), max(0, i["top"]), min(width, i["x1"]), min(height, i["bottom"])) for i in page.images if share(i) >= 0.06]
-    return [x for x in (read(page.crop(box)) for box in large) if len(x) >= 20]
-
-
 def pdf_parser(path: str, content: bytes) -> list[dict]:
-    """PDF pages by pdfplumber, where that is installed: ruled tables, the page's text, and what an OCR engine reads.
-
-    The page layout of ``operators.layout`` and the stitching of tables aren't part of it: no headings, sections or margins
-    are found, tables are those of one page, and their text is in the page's text, too.
-    """
+    """The elements of a PDF by pdfplumber, where that is installed, with OCR text where there is an engine."""
     try:
         import pdfplumber
     except ImportError as error:
         raise ValueError("reading .pdf files needs pdfplumber on the executors") from error
-    out: list[dict] = []
-    base = {"file_type": "pdf", "file_name": path.rsplit("/", 1)[-1], "source": path, "region": "body", "is_heading": False}
+    base = {"file_name": path.rsplit("/", 1)[-1], "source": path}
     with pdfplumber.open(io.BytesIO(content)) as book:
-        for number, page in enumerate(book.pages, 1):
-            place = {"page": number, "pages": [number]}
-            for table in page.extract_tables():
-                if (found := docx.read_grid([[excel.clean_cell(c) for c in row] for row in table])) is not None:
-                    out.append(base | place | {"element_type": "table", "title": found["title"] or "Untitled table", "has_header": found["has_header"], "columns": found["columns"], "headers": found["header_row"] or found["columns"], "rows": found["rows"], "n_rows": len(found["rows"]), "kind": "body", "merged_parts": 1})
-            if text := (page.extract_text() or "").strip():
-                out.append(base | place | {"element_type": "text", "text": text})
-            if ocr.resolve() != "none":
-                out += [base | place | {"element_type": "ocr_text", "text": x} for x in _pictures(page)]
-    for k, table in enumerate((e for e in out if e["element_type"] == "table"), 1):
-        table["table_id"] = f"t{k:03d}"
-    return out
+        return [base | e for e in pdf.file_elements(book.pages, ocr.read if ocr.resolve() != "none" else None)]
 
 
 def word_parser(path: str, content: bytes) -> list[dict]:

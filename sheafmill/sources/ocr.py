@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.layout import box_text
 
 Engine = Callable[[bytes], str]
+#: What a vision model is told.
+INSTRUCTION = "Write down all text of this picture, line by line from the top, as it stands. Put ' | ' between the cells of a table's row. Say nothing else."
 
 
 def resolve(backend: str = "auto") -> str:
@@ -27,6 +30,17 @@ def resolve(backend: str = "auto") -> str:
     return "rapidocr" if importlib.util.find_spec("rapidocr_onnxruntime") else "none"
 
 
+def found_text(found: list | None) -> str:
+    """Lines and cells of (corners, text, score) as an engine gives them."""
+    across = lambda corners, k: [p[k] for p in corners]
+    return box_text([{"text": text, "x0": min(across(c, 0)), "x1": max(across(c, 0)), "y0": min(across(c, 1)), "y1": max(across(c, 1))} for c, text, _ in found or []])
+
+
+def vision(ask: Callable[[str, bytes], str]) -> Engine:
+    """An engine out of a model that is asked with an instruction and a picture's bytes; for ``own``."""
+    return lambda content: ask(INSTRUCTION, content)
+
+
 @cache
 def engine(backend: str) -> Engine:
     if backend == "tesseract":
@@ -38,7 +52,7 @@ def engine(backend: str) -> Engine:
         from rapidocr_onnxruntime import RapidOCR
 
         model = RapidOCR()
-        return lambda content: "\n".join(text for _, text, _ in (model(content)[0] or []))
+        return lambda content: found_text(model(content)[0])
     return lambda content: ""
 
 
