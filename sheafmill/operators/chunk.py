@@ -14,20 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import embed
 from . import tables as tab
 from .folds import fold_groups
 
-#: The input window of a model, by a part of its name; others have the last.
-WINDOWS = {"all-minilm-l6-v2": 256, "all-minilm-l12-v2": 256, "bge-small-en-v1.5": 512, "bge-base-en-v1.5": 512, "bge-large-en-v1.5": 512, "e5-small-v2": 512, "e5-base-v2": 512}
-UNKNOWN_WINDOW = 256
-
-
-def model_window(model: str) -> int:
-    return next((n for part, n in WINDOWS.items() if part in model.lower()), UNKNOWN_WINDOW)
-
-
 def default_budget(model: str = "bge-small-en-v1.5", override: int | None = None) -> int:
-    return override or max(64, min(int(model_window(model) * 0.75), 384))
+    """Tokens of a chunk: three quarters of a model's window, within bounds."""
+    return override or max(64, min(int(embed.model_of(model).window * 0.75), 384))
 
 
 # ---- packing --------------------------------------------------------------
@@ -224,10 +217,13 @@ def chunk_texts(elements: DataFrame, budget: int, cost: Callable[[str], int] = w
     return fold_groups(slim, ["doc_id", "group_no"], ["element_no"], schema, fold)
 
 
-def chunk_elements(elements: DataFrame, budget: int) -> DataFrame:
-    """All chunks of documents in order, with chunk_index from 0 and chunk_id within the document."""
+def chunk_elements(elements: DataFrame, budget: int, tokenizer: str | None = None) -> DataFrame:
+    """All chunks of documents in order, with chunk_index from 0 and chunk_id within the document.
+
+    Tokens are counted by a tokenizer's file on the executors, or estimated without one.
+    """
     grouped = sections(elements)
-    texts = chunk_texts(grouped.where("element_type <> 'table'"), budget).select("doc_id", "element_no", "part", "element_type", "section", F.lit(None).cast("string").alias("table_id"), F.col("section").alias("title"), "page", "pages", F.lit(None).cast("int").alias("row_start"), F.lit(None).cast("int").alias("row_end"), "text")
+    texts = chunk_texts(grouped.where("element_type <> 'table'"), budget, embed.counting(tokenizer)).select("doc_id", "element_no", "part", "element_type", "section", F.lit(None).cast("string").alias("table_id"), F.col("section").alias("title"), "page", "pages", F.lit(None).cast("int").alias("row_start"), F.lit(None).cast("int").alias("row_end"), "text")
     t = elements.where("element_type = 'table'")
     pages = F.when(F.col("file_type") == "pdf", F.col("pages"))
     head = tab.header_lines(F.coalesce("title", F.lit("Table")), F.col("section"), pages, F.col("columns"), F.coalesce("has_header", F.lit(False)), F.col("sheet_name"))

@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -57,6 +57,8 @@ def promote(records: DataFrame, source: str = "source_fields") -> DataFrame:
     out = records
     for field in sorted(set(PROMOTED.values())):
         found = first(field)
+        if f"{field}_is_int" in records.columns:
+            out = out.withColumn(f"{field}_is_int", F.coalesce(f"{field}_is_int", F.when(F.col(field).isNull(), T.number_is_int(found))))
         found = T.to_number(found) if field == "amount" else found
         have = F.col(field) if field == "amount" else F.nullif(F.col(field), F.lit(""))
         out = out.withColumn(field, F.coalesce(have, found))
@@ -64,6 +66,19 @@ def promote(records: DataFrame, source: str = "source_fields") -> DataFrame:
     return out.withColumns({"entity_site": site, source: F.filter(source, lambda p: target(p).isNull())})
 
 
+def promote_records(records: DataFrame) -> DataFrame:
+    """:func:`promote` of records whose ``source_fields`` are a map."""
+    as_pairs = F.transform(F.map_entries("source_fields"), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    out = promote(records.withColumn("source_fields", F.coalesce(as_pairs, F.array().cast("array<struct<key:string,value:string>>"))))
+    return out.withColumn("source_fields", F.map_from_entries("source_fields")).select(*records.columns)
+
+
+def transcripts(elements: DataFrame) -> DataFrame:
+    """(doc_id, row_no, page_number, text): what OCR read of each document, in order."""
+    order = Window.partitionBy("doc_id").orderBy("element_no")
+    return elements.where("element_type = 'ocr_text'").select("doc_id", (F.row_number().over(order) - 1).alias("row_no"), F.col("page").alias("page_number"), "text")
+
+
 def pipe_notes(texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Notes written as ``date | area | text`` lines, of texts where at least half the lines (two or more) are."""
     lines = F.filter(F.transform(F.split(text, "\n"), T.strip), lambda x: x != "")
@@ -124,8 +139,9 @@ def row_count_warnings(tables: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def is_quota_error(error: Exception) -> bool:
-    said = str(error).upper()
-    return "RESOURCE_EXHAUSTED" in said or "429" in said
+    said = f"{getattr(error, 'code', '')} {error}".upper()
+    status = getattr(error, "status_code", None) or getattr(getattr(error, "response", None), "status_code", None)
+    return status == 429 or "RESOURCE_EXHAUSTED" in said or "429" in said
 
 
 def retried(call: Callable[[], dict], attempts: int = 3, pause: float = 1.5, sleep: Callable[[float], None] = time.sleep) -> dict:

@@ -6,15 +6,23 @@ a mask is applied when ranking, so it never changes a score. Chunks are named by
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.text import STOPWORDS, tokens  # noqa: F401
+from ..functions.text import tokens
+from ..storage import settled
+from . import embed
 
 K1, B = 1.5, 0.75
-DIMENSIONS = 384
+DIMENSIONS = embed.DIMENSIONS
 
 
 @dataclass(frozen=True)
@@ -50,29 +58,48 @@ def bm25(index: Lexical, queries: DataFrame) -> DataFrame:
     return matched.join(frequencies, "term").groupBy("query_id", "chunk_id").agg(F.sum(weight).alias("score"))
 
 
-def hash_grams(x: Column) -> Column:
-    """The words of a text and their four-letter pieces; a short word is its own piece."""
-    words = F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0))
-    pieces = F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(w) - 3)), lambda i: F.substr(w, i, F.lit(4)))))
-    return F.concat(words, pieces)
+def matches(chunks: DataFrame, queries: DataFrame, text: str = "text") -> DataFrame:
+    """(chunk_id, length, term, tf) of the asked terms, and a row of the empty term for each chunk, written down.
+
+    The chunks' terms are found once and meet the asked ones where they lie; of the others only
+    their number is kept, so what is shuffled are hits.
+    """
+    asked = queries.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), tokens(F.col("query"))))).alias("term")).distinct()
+    bags = chunks.select("chunk_id", tokens(F.col(text)).alias("terms"))
+    every = bags.select("chunk_id", F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("length"), F.explode(F.concat(F.array(F.lit("")), F.coalesce("terms", F.array().cast("array<string>")))).alias("term"))
+    return settled(every.join(asked, "term").groupBy("chunk_id", "length", "term").agg(F.count(F.lit(1)).alias("tf")), "matches")
+
+
+def bm25_search(chunks: DataFrame, queries: DataFrame, text: str = "text") -> DataFrame:
+    """:func:`bm25` of queries over chunks that have no index: (query_id, chunk_id, score)."""
+    found = matches(chunks, queries, text)
+    rows = found.where("term = ''")
+    hits = found.where("term <> ''")
+    corpus = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg_length"))
+    return bm25(Lexical(hits, hits.groupBy("term").agg(F.count(F.lit(1)).alias("df")), corpus), queries)
 
 
-def gram_bucket(gram: Column, dimensions: int = DIMENSIONS) -> Column:
-    h = F.md5(gram.cast("binary"))
-    little = F.concat(*[F.substring(h, i, 2) for i in (7, 5, 3, 1)])
-    return (F.conv(little, 16, 10).cast("bigint") % dimensions).cast("int")
+def build(chunks: DataFrame, path: str, text: str = "text", make: Callable[[], embed.Encoder] = embed.hashed) -> None:
+    """Write what a search needs of ``chunks`` under ``path``: postings by term, document frequencies, sizes and vectors."""
+    if chunks.isEmpty():
+        raise ValueError("there are no chunks to index")
+    made = lexical(chunks, text)
+    made.postings.repartition("term").sortWithinPartitions("term").write.parquet(f"{path}/postings")
+    stored = chunks.sparkSession.read.parquet(f"{path}/postings")
+    stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")
+    made.corpus.write.parquet(f"{path}/corpus")
+    embed.vectors(chunks, "chunk_id", text, make).write.parquet(f"{path}/vectors")
 
 
-def gram_sign(gram: Column) -> Column:
-    return F.when(F.conv(F.substring(F.md5(gram.cast("binary")), 9, 2), 16, 10).cast("int") % 2 == 1, 1.0).otherwise(-1.0)
+def stored(spark: SparkSession, path: str) -> tuple[Lexical, DataFrame]:
+    """The lexical index and the vectors that :func:`build` wrote; a filter on terms reaches the files."""
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    return Lexical(read("postings"), read("terms"), read("corpus")), read("vectors")
 
 
 def hash_vectors(texts: DataFrame, key: str, text: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
     """Sparse unit vectors (key, bucket, weight); a text whose buckets cancel out has none."""
-    grams = texts.select(key, F.explode(hash_grams(F.col(text))).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
-    sums = grams.groupBy(key, gram_bucket(F.col("gram"), dimensions).alias("bucket")).agg(F.sum(gram_sign(F.col("gram")) * F.col("n")).alias("w")).where("w <> 0")
-    norms = sums.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return sums.join(norms, key).select(key, "bucket", (F.col("w") / F.col("norm")).alias("weight"))
+    return embed.sparse_vectors(texts, key, text, lambda: embed.hashed(dimensions))
 
 
 def sparse_cosine(vectors: DataFrame, queries: DataFrame) -> DataFrame:
@@ -80,24 +107,37 @@ def sparse_cosine(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     return vectors.join(queries.withColumnRenamed("weight", "q"), "bucket").groupBy("query_id", "chunk_id").agg(F.sum(F.col("weight") * F.col("q")).alias("score"))
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Of dense vectors; zero if either has no length."""
-    size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(size == 0, 0.0).otherwise(dot(a, b) / size)
-
-
 def dense_cosine(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, chunk_id, score): a stated set of query vectors (query_id, q) against all rows.
 
-    The queries are one row of an array, read as a scalar, so every block of rows is scored
-    where it lies.
+    The queries are one matrix, which every Arrow batch of rows is multiplied with; lengths are
+    worked out once for each row. A vector without length scores zero, and one that is null or of
+    another size than the queries gets no row.
     """
-    asked = queries.agg(F.collect_list(F.struct("query_id", "q")).alias("qs")).scalar()
-    return vectors.withColumn("asked", F.explode(asked)).select(F.col("asked.query_id").alias("query_id"), "chunk_id", cosine(F.col("embedding"), F.col("asked.q")).alias("score"))
+    asked = [(r.query_id, r.q) for r in queries.select("query_id", "q").collect() if r.q]
+    if len({len(q) for _, q in asked}) > 1:
+        raise ValueError("the query vectors differ in size")
+    wanted = _unit(np.array([q for _, q in asked], float).reshape(len(asked), -1))
+    ids = pa.array([i for i, _ in asked], to_arrow_type(queries.schema["query_id"].dataType))
+    field = vectors.schema["chunk_id"]
+    kind = StructType([queries.schema["query_id"], field, StructField("score", DoubleType())])
+    arrow = pa.schema([("query_id", ids.type), ("chunk_id", to_arrow_type(field.dataType)), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), wanted.shape[1]), False)
+            batch = batch.filter(fits)
+            if len(wanted) and batch.num_rows:
+                rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+                scores = _unit(rows) @ wanted.T
+                yield pa.record_batch([ids.take(pa.array(np.tile(np.arange(len(ids)), len(rows)))), batch.column(0).take(pa.array(np.repeat(np.arange(len(rows)), len(ids)))).cast(arrow.field(1).type), pa.array(scores.ravel())], schema=arrow)
+
+    return vectors.select("chunk_id", "embedding").mapInArrow(run, kind)
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
 
 
 # What an identifier looks like, in order, and capital words that are none.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import index
+from . import embed, index
 
 #: Candidates of a ranker, results, and the constant of reciprocal-rank fusion.
 CANDIDATES, RESULTS, RRF = 40, 8, 60
@@ -45,12 +45,17 @@ def fuse(rankings: list[tuple[DataFrame, float]], by: str = "need_id", k: int =
     return total.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(by, "place", "chunk_id", F.round("fused", 5).alias("retrieval_score"))
 
 
-def hybrid(chunks: DataFrame, needs: DataFrame, where: Column | dict | None = None, k: int = RESULTS, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), text: str = "text") -> DataFrame:
-    """Search by hashed vectors, BM25 and identifiers; ``needs`` has (need_id, query_id, query), a row for each phrasing."""
+def hybrid(chunks: DataFrame, needs: DataFrame, where: Column | dict | None = None, k: int = RESULTS, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), text: str = "text", model: str | None = None) -> DataFrame:
+    """Search by vectors, BM25 and identifiers; ``needs`` has (need_id, query_id, query), a row for each phrasing.
+
+    Vectors are hashed ones, or those of a named ``model``.
+    """
     queries = needs.select("query_id", "query")
-    dense = index.sparse_cosine(index.hash_vectors(chunks, "chunk_id", text), index.hash_vectors(queries.withColumnRenamed("query", "text"), "query_id"))
-    scored = [(dense, -1.0), (index.bm25(index.lexical(chunks, text), queries), 0.0), (index.exact(chunks, queries, text), 0.0)]
+    passages, asking = embed.embedder(model)
+    dense = embed.near(chunks, queries, "chunk_id", text, passages, asking)
+    scored = [(dense, -1.0), (index.bm25_search(chunks, queries, text), 0.0), (index.exact(chunks, queries, text), 0.0)]
     by_need = needs.select("query_id", "need_id")
+    scored = [(s.withColumn("score", F.round("score", 9)), floor) for s, floor in scored]  # ties stay ties, however sums were ordered
     rankings = [(ranked(masked(s, chunks, where), floor).join(by_need, "query_id"), w) for (s, floor), w in zip(scored, weights, strict=True)]
     return fuse(rankings, k=k)
 
@@ -83,4 +88,4 @@ def context(picked: DataFrame, cap: int = 12_000, by: tuple[str, ...] = ("doc_id
     order = Window.partitionBy(*by).orderBy("chunk_index")
     kept = picked.dropDuplicates([*by, "chunk_index"]).withColumn("size", F.length("body")).withColumn("used", F.sum("size").over(order)).where(F.col("used") <= cap)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "body"))), lambda x: x["body"]), "\n\n")
-    return kept.groupBy(*by).agg(joined.alias("context"), F.sum("size").alias("chars"), F.count(F.lit(1)).alias("chunks"))
+    return kept.groupBy(*by).agg(joined.alias("context"), F.sum("size").alias("chars"), F.count(F.lit(1)).alias("chunks"), F.sort_array(F.collect_list("chunk_index")).alias("picked"))

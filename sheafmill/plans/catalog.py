@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import chunk, clean, extract, index, layout, retrieve
+from ..operators import chunk, clean, embed, extract, index, layout, retrieve
 from ..operators import tables as tab
 from ..sinks import results
+from ..storage import settled
 from . import tables as data
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +89,16 @@ def to_number(spark, sf_dir):
     return data.read(spark, sf_dir, "orders").select("o_orderkey", T.to_number(raw).alias("value"), T.number_is_int(raw).alias("is_int"), T.text_or_null(raw).alias("text"))
 
 
+@query("""with t as (select o_orderkey, case o_orderkey % 7 when 0 then ' ' when 1 then 'NULL' when 2 then ' n/a ' when 3 then '–' when 4 then ' value ' || o_orderkey || ' ' when 5 then 'nan' else 'none of ' || o_orderkey end as raw from orders)
+select o_orderkey, o_orderkey % 7 not in (4, 6) as is_null, case o_orderkey % 7 when 4 then 'value ' || o_orderkey when 6 then 'none of ' || o_orderkey end as text from t""")
+def null_text(spark, sf_dir):
+    k, m = F.col("o_orderkey").cast("string"), F.pmod("o_orderkey", F.lit(7))
+    raw = F.lit("nan")
+    for n, x in ((0, F.lit(" ")), (1, F.lit("NULL")), (2, F.lit(" n/a ")), (3, F.lit("–")), (4, F.concat(F.lit(" value "), k, F.lit(" "))), (6, F.concat(F.lit("none of "), k))):
+        raw = F.when(m == n, x).otherwise(raw)
+    return data.read(spark, sf_dir, "orders").select("o_orderkey", T.is_null(raw).alias("is_null"), T.text_or_null(raw).alias("text"))
+
+
 _DATED = "with d as (select o_orderkey, o_orderdate::date as d from orders)"
 
 
@@ -148,13 +159,13 @@ def bm25_term_stats(spark, sf_dir):
 
 @query(f"with {_BM25}, r as (select query_id, doc_id, round(score, 9) as score, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank from scores where score > 0) select query_id, rank::int as rank, doc_id, round(score, 6) as score from r where rank <= 10")
 def bm25_topk(spark, sf_dir):
-    return _top(index.bm25(index.lexical(_chunks(spark, sf_dir)), _asked(spark)), 10)
+    return _top(index.bm25_search(_chunks(spark, sf_dir), _asked(spark)), 10)
 
 
 @query(f"with {_BM25}, r as (select query_id, doc_id, round(score, 9) as score, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank from scores join documents using (doc_id) where score > 0 and lang = 'en') select query_id, rank::int as rank, doc_id, round(score, 6) as score from r where rank <= 40")
 def bm25_masked(spark, sf_dir):
     chunks = _chunks(spark, sf_dir)
-    return _top(retrieve.masked(index.bm25(index.lexical(chunks), _asked(spark)), chunks, {"lang": ["en"]}), 40)
+    return _top(retrieve.masked(index.bm25_search(chunks, _asked(spark)), chunks, {"lang": ["en"]}), 40)
 
 
 NAMED = ((1, 'the "General Public License" of GNU, version 3'), (2, "MIT license"), (3, "AKIA keys"))
@@ -172,13 +183,13 @@ def exact_id_rank(spark, sf_dir):
 _GRAMS = "grams{s} as (select {k}, unnest(list_concat(ws, flatten(list_transform(ws, lambda w: list_transform(range(1, greatest(1, len(w) - 3) + 1), lambda i: substr(w, i, 4)))))) as gram from (select {k}, regexp_extract_all(lower({t}), '[a-z0-9]+') as ws from {f}))"
 _VECTORS = """w{s} as (select {k}, (('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2))::bigint % 384)::int as bucket, sum(case when ('0x' || substr(h, 9, 2))::int % 2 = 1 then 1.0::double else -1.0::double end) as w from (select {k}, md5(gram) as h from grams{s}) group by all having sum(case when ('0x' || substr(h, 9, 2))::int % 2 = 1 then 1.0::double else -1.0::double end) <> 0),
 v{s} as (select {k}, bucket, w / sqrt(sum(w * w) over (partition by {k})) as weight from w{s})"""
-_ITEMS = "items as (select item_id as chunk_id, text from benchmark)"
+_ITEMS = "items as (select doc_id as chunk_id, text from documents)"
 _DENSE = ", ".join([_ITEMS, _GRAMS.format(s="", k="chunk_id", t="text", f="items"), _VECTORS.format(s="", k="chunk_id")])
 
 
 @query(f"with {_DENSE} select chunk_id, bucket, round(weight, 6) as weight from v")
 def hash_embed_buckets(spark, sf_dir):
-    return index.hash_vectors(data.items(spark, sf_dir), "chunk_id").select("chunk_id", "bucket", F.round("weight", 6).alias("weight"))
+    return index.hash_vectors(_chunks(spark, sf_dir), "chunk_id").select("chunk_id", "bucket", F.round("weight", 6).alias("weight"))
 
 
 _COSINE = f"{_DENSE}, {_ASKED}, {_GRAMS.format(s='q', k='query_id', t='query', f='asked')}, {_VECTORS.format(s='q', k='query_id')}, cs as (select query_id, chunk_id, sum(v.weight * vq.weight) as score from v join vq using (bucket) group by all)"
@@ -186,8 +197,7 @@ _COSINE = f"{_DENSE}, {_ASKED}, {_GRAMS.format(s='q', k='query_id', t='query', f
 
 @query(f"with {_COSINE}, r as (select query_id, chunk_id, round(score, 9) as score, row_number() over (partition by query_id order by round(score, 9) desc, chunk_id) as rank from cs where score > -1) select query_id, rank::int as rank, chunk_id as doc_id, round(score, 6) as score from r where rank <= 40")
 def hash_embed_cosine(spark, sf_dir):
-    asked = index.hash_vectors(_asked(spark).withColumnRenamed("query", "text"), "query_id")
-    scores = index.sparse_cosine(index.hash_vectors(data.items(spark, sf_dir), "chunk_id"), asked).withColumn("score", F.round("score", 9))
+    scores = embed.near(_chunks(spark, sf_dir), _asked(spark)).withColumn("score", F.round("score", 9))
     return retrieve.ranked(scores, -1.0, 40).select("query_id", "rank", F.col("chunk_id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
@@ -202,6 +212,15 @@ def cosine_topk(spark, sf_dir):
     return retrieve.ranked(scores, -1.0, 40).select("query_id", "rank", F.col("chunk_id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
+@query(f"with s as (select query_id, vec_id, list_dot_product(e, q) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(q, q))) as score from (select vec_id, embedding::double[] as e from embeddings), {_DOT}) select query_id, count(*) as n, count(*) filter (vec_id = query_id) as itself, round(avg(score), 6) as mean from s where round(score, 9) > 0.25 group by query_id")
+def dense_floor(spark, sf_dir):
+    """How many vectors are above a floor of similarity, for a stated set of queries."""
+    e = data.read(spark, sf_dir, "embeddings")
+    asked = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    above = index.dense_cosine(e.withColumnRenamed("vec_id", "chunk_id"), asked).where(F.round("score", 9) > 0.25)
+    return above.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("chunk_id") == F.col("query_id")).alias("itself"), F.round(F.avg("score"), 6).alias("mean"))
+
+
 _RANKED = "select query_id, {c} as doc_id, row_number() over (partition by query_id order by round(score, 9) desc, {c}) as rank from {t}"
 
 
@@ -210,19 +229,26 @@ def rrf_fuse(spark, sf_dir):
     chunks = _chunks(spark, sf_dir)
     near = lambda s: retrieve.ranked(s.withColumn("score", F.round("score", 9)))
     named = spark.createDataFrame(NAMED, "query_id int, query string")
-    both = [(near(index.bm25(index.lexical(chunks), _asked(spark))), 1.0), (near(index.exact(chunks, named)), 1.0)]
+    both = [(near(index.bm25_search(chunks, _asked(spark))), 1.0), (near(index.exact(chunks, named)), 1.0)]
     return retrieve.fuse(both, by="query_id", k=10).select("query_id", "place", F.col("chunk_id").alias("doc_id"), F.col("retrieval_score").alias("score"))
 
 
 _NEEDS = "needs(need_id, query_id) as (values (1, 1), (1, 2), (2, 3))"
-_ITEM_BM25 = _BM25.replace("select doc_id, " + _terms("text") + " as ts from documents", "select item_id as doc_id, " + _terms("text") + " as ts from benchmark")
 
 
-@query(f"with {_COSINE}, {_ITEM_BM25.split(',' + chr(10), 1)[1]}, {_NEEDS}, d as ({_RANKED.format(c='chunk_id', t='cs')}), l as ({_RANKED.format(c='doc_id', t='scores')}), f as (select need_id, doc_id, round(sum(1.0::double / (60 + rank)), 12) as fused from (select * from d where rank <= 40 union all select * from l where rank <= 40) join needs using (query_id) group by all), p as (select *, row_number() over (partition by need_id order by fused desc, doc_id) as place from f) select need_id, place::int as place, doc_id, round(fused, 5) as score from p where place <= 8")
+@query(f"with {_COSINE}, {_BM25.split(',' + chr(10), 1)[1]}, {_NEEDS}, d as ({_RANKED.format(c='chunk_id', t='cs')}), l as ({_RANKED.format(c='doc_id', t='scores')}), f as (select need_id, doc_id, round(sum(1.0::double / (60 + rank)), 12) as fused from (select * from d where rank <= 40 union all select * from l where rank <= 40) join needs using (query_id) group by all), p as (select *, row_number() over (partition by need_id order by fused desc, doc_id) as place from f) select need_id, place::int as place, doc_id, round(fused, 5) as score from p where place <= 8")
 def hybrid_search(spark, sf_dir):
-    """Two needs, one in two phrasings, over all items; none of the phrasings holds an identifier."""
+    """Two needs, one in two phrasings, over all documents; none of the phrasings holds an identifier."""
     needs = _asked(spark).withColumn("query", F.regexp_replace("query", "General Public", "general public")).withColumn("need_id", F.when(F.col("query_id") <= 2, 1).otherwise(2))
-    return retrieve.hybrid(data.items(spark, sf_dir), needs).select("need_id", "place", F.col("chunk_id").alias("doc_id"), F.col("retrieval_score").alias("score"))
+    return retrieve.hybrid(_chunks(spark, sf_dir), needs).select("need_id", "place", F.col("chunk_id").alias("doc_id"), F.col("retrieval_score").alias("score"))
+
+
+@query(f"with {_BM25}, {_NEEDS}, l as ({_RANKED.format(c='doc_id', t='scores')}), f as (select need_id, doc_id, round(sum(1.0::double / (60 + rank)), 12) as fused from l join needs using (query_id) where rank <= 40 group by all), p as (select *, row_number() over (partition by need_id order by fused desc, doc_id) as place from f) select need_id, place::int as place, doc_id, round(fused, 5) as score from p where place <= 20")
+def rrf_multi_query(spark, sf_dir):
+    """Needs in several phrasings, each ranked by itself."""
+    needs = _asked(spark).withColumn("need_id", F.when(F.col("query_id") <= 2, 1).otherwise(2)).select("query_id", "need_id")
+    ranks = retrieve.ranked(index.bm25_search(_chunks(spark, sf_dir), _asked(spark)).withColumn("score", F.round("score", 9))).join(needs, "query_id")
+    return retrieve.fuse([(ranks, 1.0)], k=20).select("need_id", "place", F.col("chunk_id").alias("doc_id"), F.col("retrieval_score").alias("score"))
 
 
 _TURNS = "t as (select conv_id as doc_id, row_number() over (partition by conv_id order by turn, role) - 1 as chunk_index, role as section, (turn // 2)::int as page, text from conversations)"
@@ -314,7 +340,16 @@ def greedy_pack(spark, sf_dir):
     return rows.groupBy("doc_id", "group_no").agg(F.min("i").cast("bigint").alias("first"), F.max("i").cast("bigint").alias("last"))
 
 
-@query()
+_PACK = "select doc_id, {k}, costs, lim, 1 as i, 0 as g, costs[1] as used from {start} union all select doc_id, {k}, costs, lim, i + 1, case when used + costs[i + 1] > lim then g + 1 else g end, case when used + costs[i + 1] > lim then costs[i + 1] else used + costs[i + 1] end from {own} where i < len(costs)"
+
+
+@query(f"""with recursive c as (select doc_id, list_transform(string_split(text, chr(10)), lambda x: len(x) + 1) as costs, -1 as k, 400 as lim from documents),
+p as ({_PACK.format(k='k', start='c', own='p')}),
+n as (select doc_id, any_value(costs) as costs, max(g) + 1 as groups from p group by doc_id),
+e as (select doc_id, costs, groups, k, least(400, ceil(list_sum(costs) / groups) + floor([0.25, 0.5, 0.75, 1.0][k + 1] * list_max(costs)))::bigint as lim from n, range(0, 4) t(k) where groups > 1),
+q as ({_PACK.format(k='k', start='e', own='q')}),
+fits as (select doc_id, min(k) as k from (select q.doc_id, q.k, max(g) + 1 as m from q group by all) join n using (doc_id) where m <= groups group by doc_id)
+select doc_id, g::int as group_no, min(i)::bigint - 1 as first, max(i)::bigint - 1 as last from (select q.doc_id, q.i, q.g from q join fits using (doc_id, k) union all select p.doc_id, p.i, p.g from p where not exists (select 1 from fits f where f.doc_id = p.doc_id)) group by doc_id, g""")
 def balanced_pack(spark, sf_dir):
     packed = chunk.balanced(_line_costs(spark, sf_dir), "costs", F.lit(400), "groups")
     rows = packed.select("doc_id", F.posexplode("groups").alias("i", "group_no"))
@@ -344,6 +379,14 @@ def row_coverage(spark, sf_dir):
     return c.groupBy("doc_id").agg(F.sum(F.col("row_end") - F.col("row_start") + 1).cast("bigint").alias("rows_covered"), F.min("row_start").cast("bigint").alias("first_row"), F.max("row_end").cast("bigint").alias("last_row"))
 
 
+@query("select l_orderkey as doc_id, 1::bigint as headers, md5('Table: Lines' || chr(10) || 'Columns: Line | Part | Supplier | Quantity | Flag | Ship Date') as header_md5, true as numbered from lineitem group by l_orderkey")
+def table_chunk_headers(spark, sf_dir):
+    """Every chunk of a table begins with its header, and chunks are numbered without gaps."""
+    c = _line_chunks(spark, sf_dir).withColumn("header", F.substring_index("text", "\n", 2))
+    numbered = (F.count(F.lit(1)) == F.max("table_chunks")) & (F.max("table_chunk") == F.count(F.lit(1)) - 1) & (F.min("table_chunk") == 0)
+    return c.groupBy("doc_id").agg(F.count_distinct("header").alias("headers"), F.md5(F.min("header").cast("binary")).alias("header_md5"), numbered.alias("numbered"))
+
+
 @query()
 def table_chunks(spark, sf_dir):
     return _line_chunks(spark, sf_dir)
@@ -449,6 +492,18 @@ def classify_tables(spark, sf_dir):
     return tab.classify(t).select("o_orderkey", "class", F.coalesce(F.when(F.size("columns") == 4, place("master", "amount", "master")), F.lit(-1)).alias("amount_place"), F.coalesce(place("monthly", "p95_hrs", "monthly"), F.lit(-1)).alias("p95_place"))
 
 
+#: What the headers' columns are of a record, by the aliases.
+_PLACES = "(0, 'record_id', 0), (0, 'date_raw', 1), (0, 'status', 2), (0, 'amount', 3), (3, 'name', 0), (3, 'phone', 1), (4, 'date_raw', 3), (4, 'entity_site', 0), (4, 'department', 1), (4, 'amount', 2)"
+
+
+@query(f"select o_orderkey, field, place::int as place from orders join (values {_PLACES}) as w(header, field, place) on header = o_orderkey % 5")
+def match_columns(spark, sf_dir):
+    headers = F.array(*[F.array(*map(F.lit, h)) for h in _HEADERS])
+    t = data.read(spark, sf_dir, "orders").select("o_orderkey", F.get(headers, F.pmod("o_orderkey", F.lit(5)).cast("int")).alias("columns"))
+    matched = tab.match_columns(t, tab.MASTER_ALIASES, "master").where(F.pmod("o_orderkey", F.lit(5)).isin(0, 3, 4))
+    return matched.select("o_orderkey", F.explode("master").alias("field", "place"))
+
+
 @query("select o_orderkey, 'Price' as label, printf('%d%%', o_orderkey) as value_raw, o_orderkey::double as value_number, '%' as unit from orders where o_orderkey % 3 <> 0 union all select o_orderkey, 'Order key', o_orderkey::varchar, o_orderkey, null from orders where o_orderkey % 3 <> 0")
 def value_groups(spark, sf_dir):
     k = F.col("o_orderkey").cast("string")
@@ -468,9 +523,12 @@ r as (select *, 'customer-' || o_custkey as doc_id, row_number() over (partition
   count(*) over (partition by o_custkey, record_id) as same from d)"""
 
 
-def _records(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _records(spark, sf_dir, again: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Tables and their records; written down where they are read ``again``."""
     t = tab.classify(data.order_tables(spark, sf_dir))
-    return t, tab.master_records(t)
+    t = settled(t, "typed") if again else t
+    m = tab.master_records(t)
+    return t, settled(m, "records") if again else m
 
 
 @query(f"with {_RECORDS} select doc_id, row_no::int as row_no, record_id, date_iso, o_orderstatus as status, round(amount, 2) as amount, owner, 'Legacy Code=see ' || o_orderkey as source_fields, array_to_string(list_filter([date_flag, case when owner is null then 'missing_owner' end, case when same > 1 then 'duplicate_id' end], lambda x: x is not null), ',') as flags from r")
@@ -488,7 +546,7 @@ def duplicate_flags(spark, sf_dir):
 
 @query(f"with {_RECORDS} select doc_id, 1::bigint as tables_found, 0::bigint as stitched_tables, count(*) as master_records, coalesce(string_agg(distinct case when same > 1 then record_id end, ',' order by case when same > 1 then record_id end), '') as duplicate_ids, count(*) filter (date_flag = 'date_ambiguous') as ambiguous_dates, 1::bigint as ancillary_tables from r group by doc_id")
 def extraction_report(spark, sf_dir):
-    t, m = _records(spark, sf_dir)
+    t, m = _records(spark, sf_dir, again=True)
     return extract.report(t, m, {"ancillary_tables": tab.ancillary_tables(t)}).withColumn("duplicate_ids", F.array_join("duplicate_ids", ","))
 
 
@@ -534,7 +592,7 @@ def json_rows(spark, sf_dir):
 select doc_id, (row_no + 3)::bigint as row_no, record_id || ' | ' || o_orderstatus || ' | ' || coalesce(owner, '-') as line from r
 union all select doc_id, k - 1, case k when 0 then '' when 1 then 'RECORDS (' || n || ')' when 2 then '-------------' else 'ID | status | owner' end from n, range(0, 4) t(k)""")
 def report_lines(spark, sf_dir):
-    t, m = _records(spark, sf_dir)
+    t, m = _records(spark, sf_dir, again=True)
     return results.section(t, m, 1, "RECORDS", ("record_id", "status", "owner"), {"record_id": "ID"}).select("doc_id", "row_no", "line")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,8 +13,9 @@ from ..functions import text as T
 from ..operators import chunk, clean, extract, index, retrieve
 from ..operators import tables as tab
 from ..schemas import INFO
+from ..sinks import cache
 from ..sources import files
-from .storage import settled
+from ..storage import settled
 
 Model = Callable[[str, str], dict]
 
@@ -58,12 +59,13 @@ class Result:
     info: DataFrame
     notes: DataFrame
     report: DataFrame
+    transcripts: DataFrame
     warnings: DataFrame
     errors: DataFrame
 
 
 def contexts(chunks: DataFrame, sections: dict = SECTIONS, where: Column | dict | None = TEXTS, cap: int = 12_000, attempt: int = 0) -> DataFrame:
-    """(doc_id, kind, context, chars, chunks): what each section of each document is read from.
+    """(doc_id, kind, context, chars, chunks, picked): what each section of each document is read from, and which chunks these are.
 
     Every document is searched within itself: its number is a part of the query's, so statistics
     and ranks are by document. A later attempt looks at six more chunks.
@@ -128,15 +130,19 @@ def search_each(chunks: DataFrame, docs: DataFrame, asked: DataFrame, where: Col
     return fused.withColumn("place", place).where(F.col("place") <= k).join(docs, "doc_id", "left_semi").select("doc_id", "chunk_index")
 
 
-def extract_all(elements: DataFrame, model: Model | None = None, model_name: str = "none", budget: int | None = None, attempt: int = 0) -> Result:
-    """Everything that can be read from elements. Without a model only tables and noted lines are typed."""
+def extract_all(elements: DataFrame, model: Model | None = None, model_name: str = "none", budget: int | None = None, attempt: int = 0, kept: str | None = None, tokenizer: str | None = None) -> Result:
+    """Everything that can be read from elements. Without a model only tables and noted lines are typed.
+
+    ``kept`` is a folder of answers by their requests: what is there isn't asked again, and new
+    answers go there. Tokens are counted by a ``tokenizer``'s file, if one is given.
+    """
     good, errors = files.good(elements), files.errors(elements)
     cleaned = settled(clean.clean_elements(good), "elements")
-    chunks = settled(chunk.chunk_elements(cleaned, budget or chunk.default_budget()), "chunks")
+    chunks = settled(chunk.chunk_elements(cleaned, budget or chunk.default_budget(), tokenizer), "chunks")
     found = settled(contexts(chunks, attempt=attempt), "contexts")
     rows = cleaned.withColumn("page", F.coalesce("page", F.lit(1)))
     typed = settled(tab.classify(rows.where("element_type = 'table'").unionByName(rows.where("element_type = 'text' and file_type in ('xlsx', 'xlsm')").withColumns({"columns": F.coalesce("columns", F.array().cast("array<string>")), "rows": F.coalesce("rows", F.array().cast("array<array<string>>")), "has_header": F.coalesce("has_header", F.lit(False))}))), "typed")
-    records = settled(tab.master_records(typed), "records")
+    records = settled(extract.promote_records(tab.master_records(typed)), "records")
     sources = cleaned.withColumn("body", F.when(F.col("element_type") == "table", F.array_join(F.transform("rows", tab.render_row), "\n")).otherwise(F.col("text"))).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("element_no", "body"))), lambda x: x["body"]), "\n").alias("source_text"))
     sources = settled(sources, "sources")
     noted = found.where("kind = 'field_notes'").select("doc_id", F.col("context").alias("text"))
@@ -150,7 +156,9 @@ def extract_all(elements: DataFrame, model: Model | None = None, model_name: str
         # The model is asked for notes only where no lines are noted.
         open_notes = full.where("kind = 'field_notes'").join(notes.select("doc_id").distinct(), "doc_id", "left_anti")
         asked = full.where("kind = 'document_info'").select("doc_id", "kind", "context").unionByName(open_notes.select("doc_id", "kind", "context"))
-        said = settled(extract.ask_model(asked, model, model_name), "answers")
+        known = cache.get(elements.sparkSession, kept, "answers", "key string, answer map<string,string>")
+        said = settled(extract.ask_model(asked, model, model_name, None if kept is None else known), "answers")
+        cache.put(said.where("error is null and answer is not null").select("key", "answer"), kept, "answers")
         info = sources.select("doc_id").join(said.where("kind = 'document_info'"), "doc_id", "left").select("doc_id", *[F.try_element_at("answer", F.lit(f)).alias(f) for f in INFO])
         more, unread = extract.said_notes(said.where("kind = 'field_notes'"))
         notes = notes.unionByName(more)
@@ -160,7 +168,7 @@ def extract_all(elements: DataFrame, model: Model | None = None, model_name: str
     warnings = warnings.unionByName(info.select("doc_id", F.explode("warnings").alias("warning"))).unionByName(notes.where("not verified").select("doc_id", F.concat(F.lit("field note not found verbatim in source: '"), F.substring("text", 1, 60), F.lit("'")).alias("warning")))
     monthly, dq, values, rest = tab.monthly_performance(typed), tab.quality_flags(typed), tab.value_groups(typed), tab.ancillary_tables(typed)
     report = extract.report(typed, records, {"monthly_performance": monthly, "value_groups": values, "data_quality_flags": dq, "field_notes": notes, "ancillary_tables": rest})
-    return Result(cleaned, chunks, found, typed, records, monthly, dq, values, rest, info.drop("warnings"), notes, report, warnings, errors)
+    return Result(cleaned, chunks, found, typed, records, monthly, dq, values, rest, info.drop("warnings"), notes, report, extract.transcripts(cleaned), warnings, errors)
 
 
 def needs_retry(result: Result) -> DataFrame:
@@ -176,6 +184,25 @@ def needs_retry(result: Result) -> DataFrame:
     return failed.unionByName(missed).distinct().join(stuck, "doc_id", "left_anti")
 
 
+def extract_with_retries(elements: DataFrame, model: Model | None = None, model_name: str = "none", budget: int | None = None, attempts: int = 2, kept: str | None = None, tokenizer: str | None = None) -> Result:
+    """:func:`extract_all`; documents that need it are looked at again, with more chunks in each section.
+
+    What a later attempt finds of a document takes the place of all that was found of it before.
+    """
+    result = extract_all(elements, model, model_name, budget, 0, kept, tokenizer)
+    for attempt in range(1, attempts):
+        again = settled(needs_retry(result), "again")
+        if again.isEmpty():
+            break
+        part = extract_all(elements.join(again, "doc_id", "left_semi"), model, model_name, budget, attempt, kept, tokenizer)
+        merged = {}
+        for field in fields(Result):
+            old, new = getattr(result, field.name), getattr(part, field.name)
+            merged[field.name] = old if field.name == "errors" else settled(old.join(again, "doc_id", "left_anti").unionByName(new), field.name)
+        result = Result(**merged)
+    return result
+
+
 def answer(chunks: DataFrame, questions: DataFrame, model: Callable[[str, str], str], k: int = 8) -> DataFrame:
     """(query_id, query, prompt, answer, cited): questions on all chunks, answered from what is found, with citations."""
     hits = retrieve.hybrid(chunks, questions.withColumn("need_id", F.col("query_id")), k=k)

@@ -30,11 +30,6 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("conv_id").alias("doc_id"), index.alias("chunk_index"), F.col("role").alias("section"), F.floor(F.col("turn") / 2).cast("int").alias("page"), "text")
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items as chunks: chunk_id, text, and whether the number is even."""
-    return read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("chunk_id"), "text", (F.col("item_id") % 2 == 0).alias("even"))
-
-
 DATE_STYLES = ("yyyy-MM-dd", "d MMM yyyy", "MM-dd-yyyy", "MMM d", "dd/MM/yy")
 
 

@@ -1,6 +1,7 @@
 import contextlib
 import hashlib
 import io
+import json
 import math
 import random
 import re
@@ -8,15 +9,17 @@ import sys
 import types
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from sheafmill.operators import extract
+from sheafmill.operators import extract, models, tables
 from sheafmill.plans import pipeline
 from sheafmill.sinks import results
 from sheafmill.sources import docx, excel, files, ocr
 from sheafmill.streaming import arrivals
 
 from .books import DATE, PERCENT, document, grid, workbook
+from .pages import Page, words
 
 HEAD = ["ID", "Date", "Region", "Team", "Metric A", "Metric B", "Status", "Owner", "Notes"]
 
@@ -95,7 +98,80 @@ def test_files_to_results(spark, tmp_path):
     results.write_json(r.records, f"{tmp_path}/out/json")
     assert spark.read.json(f"{tmp_path}/out/json").count() == 29
     results.write_report(results.section(r.tables, r.records, 1, "R", ("record_id",)), f"{tmp_path}/out/txt")
-    assert spark.read.text(f"{tmp_path}/out/txt").where("value like 'R-%'").count() == 29
+    assert spark.read.parquet(f"{tmp_path}/out/txt").count() == r.tables.select("doc_id").distinct().count()
+
+
+def test_a_file_pair_for_each_document(spark, tmp_path):
+    write(tmp_path)
+    kept = f"{tmp_path}/kept"
+    asked = spark.sparkContext.accumulator(0)
+
+    def model(kind, context):
+        asked.add(1)
+        return {"name": "Ada Lovelace", "organization": "Invented Ltd"}
+
+    elements = files.read_files(spark, f"{tmp_path}/*.*")
+    r = pipeline.extract_with_retries(elements, model, "fake", kept=kept)
+    once = asked.value
+    written = {x.doc_id.rsplit("/", 1)[-1]: x for x in results.write_pairs(r, f"{tmp_path}/pairs").collect()}
+    assert {p.name for p in (tmp_path / "pairs").iterdir()} == {f"{s}_extracted{e}" for s in ("good", "notes") for e in (".json", ".txt")}
+    assert written["good.xlsx"].json_path == "good_extracted.json"
+    whole = json.loads((tmp_path / "pairs" / "good_extracted.json").read_text())
+    assert len(whole["master_records"]) == 29 and whole["master_records"][0]["record_id"] == "R-1" and whole["report"]["tables_found"] == 1
+    notes = json.loads((tmp_path / "pairs" / "notes_extracted.json").read_text())
+    assert [n["area"] for n in notes["field_notes"]] == ["North", "South", "East"] and notes["document_info"]["name"] == "Ada Lovelace"
+    assert any("Invented Ltd" in w for w in notes["warnings"])
+    lines = (tmp_path / "pairs" / "good_extracted.txt").read_text().split("\n")
+    heads = [x for x in lines if x.isupper() or re.fullmatch(r"[A-Z ]+ \(\d+\)", x)]
+    assert heads == ["STRUCTURED DOCUMENT EXTRACTION", "EXTRACTION SUMMARY", "DOCUMENT INFO", "EXTRACTION REPORT", "MASTER RECORDS (29)", "MONTHLY PERFORMANCE (0)", "VALUE GROUPS (0)", "DATA QUALITY FLAGS (0)", "FIELD NOTES (0)", "ANCILLARY TABLES (0)", "WARNINGS"] or heads[:-1] == ["STRUCTURED DOCUMENT EXTRACTION", "EXTRACTION SUMMARY", "DOCUMENT INFO", "EXTRACTION REPORT", "MASTER RECORDS (29)", "MONTHLY PERFORMANCE (0)", "VALUE GROUPS (0)", "DATA QUALITY FLAGS (0)", "FIELD NOTES (0)"]
+    assert "Master Records: 29" in lines and "Tables Found: 1" in lines and "Title: Not Found" in lines and "Ambiguous Dates: 0" in lines and "Duplicate Ids: Not Found" in lines
+    assert sum(x.startswith("R-") and x.count(" | ") == 25 for x in lines) == 29
+    # What was answered is kept: the same documents ask nothing.
+    pipeline.extract_all(elements, model, "fake", kept=kept).info.collect()
+    assert asked.value == once
+
+
+def test_documents_that_failed_are_looked_at_again(spark, tmp_path):
+    write(tmp_path)
+
+    def model(kind, context):
+        if not (tmp_path / "failed").exists():
+            (tmp_path / "failed").write_text("once")
+            raise ValueError("cut off")
+        return {"name": "Ada Lovelace"}
+
+    r = pipeline.extract_with_retries(files.read_files(spark, f"{tmp_path}/*.docx"), model, "fake", attempts=2)
+    assert [x.name for x in r.info.collect()] == ["Ada Lovelace"] and not [w for w in r.warnings.collect() if "failed" in w.warning]
+    assert r.notes.count() == 3 and r.elements.select("doc_id").distinct().count() == 1
+
+
+def test_answers_by_schema_and_providers():
+    said = {"document_info": "Sure: {\"title\": \"T\", \"other\": 1}", "field_notes": "{\"notes\": [{\"text\": \"x\"}]}"}
+    ask = lambda prompt: said["field_notes" if "observation" in prompt.split("\n")[0] else "document_info"]
+    model = models.structured(ask)
+    info = model("document_info", "context")
+    assert info["title"] == "T" and info["name"] is None and "other" not in info
+    assert model("field_notes", "context") == {"notes": [{"text": "x"}]}
+    with pytest.raises(ValueError):
+        models.parsed("document_info", "no object")
+    with pytest.raises(ValueError):
+        models.chat("unheard", "m")
+    with pytest.raises(ValueError, match="needs langchain_groq"):
+        models.chat("groq", "m")("hello")
+
+    class Busy(Exception):
+        status_code = 429
+
+    assert extract.is_quota_error(Busy("slow down")) and not extract.is_quota_error(ValueError("x"))
+
+
+def test_records_are_promoted(spark):
+    header = ["ID", "Date", "Status", "Full Name", "Urgency", "Custom"]
+    t = [("d", 0, "table", "pdf", "t001", "T", None, False, header, header, [["R-1", "2026-01-02", "Open", "Ari", "High", "legacy"]], True, 1, ["x"], 1)]
+    kind = "doc_id string, element_no int, element_type string, file_type string, table_id string, title string, section string, secondary_sheet boolean, columns array<string>, headers array<string>, rows array<array<string>>, has_header boolean, page int, source array<string>, n_rows int"
+    df = spark.createDataFrame(t, kind).withColumn("source", F.lit("f")).withColumns({c: F.lit(None).cast("string") for c in ("file_name", "sheet_name", "block_range", "text", "heading")}).withColumns({"pages": F.array(F.lit(1)), "sheet_index": F.lit(None).cast("int")})
+    r = extract.promote_records(tables.master_records(tables.classify(df))).first()
+    assert (r.name, r.priority, r.source_fields) == ("Ari", "High", {"Custom": "legacy"})
 
 
 def fused_by_hand(chunks, queries, kept, k):
@@ -200,18 +276,13 @@ def test_pictures_are_read_while_loading(monkeypatch):
     found = files.load_one("/x/a.docx", out.getvalue())
     assert [(e["element_type"], e["text"]) for e in found] == [("text", "Body"), ("ocr_text", "read from\npicture one of the file")]
 
-    def page(text, images, name):
-        picture = types.SimpleNamespace(save=lambda to, kind: to.write(name.encode()))
-        one = types.SimpleNamespace(width=100, height=100, images=images, extract_tables=list, extract_text=lambda: text, to_image=lambda resolution: types.SimpleNamespace(original=picture))
-        one.crop = lambda box: page("", [], f"{name} at {box[0]}")
-        return one
-
-    box = lambda x0, x1: {"x0": x0, "x1": x1, "top": 0, "bottom": 100}
-    pages = [page("", [], "scan"), page("word " * 100, [box(10, 20), box(0, 2)], "figure"), page("word " * 20, [box(0, 50)], "half")]
+    box = lambda x0, x1: {"x0": x0, "x1": x1, "top": 0, "bottom": 800}
+    prose = lambda n: [w for k in range(n) for w in words("several words of prose on a line", 50, 100 + 12 * k)]
+    pages = [Page(name="scan"), Page(prose(20), images=[box(100, 200), box(0, 10)], name="figure"), Page(prose(3), images=[box(0, 300)], name="half")]
     book = types.SimpleNamespace(open=lambda content: contextlib.nullcontext(types.SimpleNamespace(pages=pages)))
     monkeypatch.setitem(sys.modules, "pdfplumber", book)
     found = files.load_one("/x/a.pdf", b"")
-    assert [(e["page"], e["text"].split("\n")[-1]) for e in found if e["element_type"] == "ocr_text"] == [(1, "scan of the file"), (2, "figure at 10 of the file"), (3, "half of the file")]
+    assert [(e["page"], e["text"].split("\n")[-1]) for e in found if e["element_type"] == "ocr_text"] == [(1, "scan of the file"), (2, "figure at 100 of the file"), (3, "half of the file")]
 
 
 def test_retries_and_fallback():
