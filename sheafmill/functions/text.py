@@ -139,7 +139,8 @@ def tidy(x: Column) -> Column:
 def tokens(x: Column) -> Column:
     """Index terms: compounds such as ``r-1841-a`` and also their parts, without stop words."""
     found = F.regexp_extract_all(F.lower(x), F.lit(TERM), F.lit(0))
-    parts = F.flatten(F.transform(found, lambda t: F.when(t.rlike(TERM_PARTS), F.concat(F.array(t), F.split(t, TERM_PARTS))).otherwise(F.array(t))))
+    joined = lambda t: t.contains("-") | t.contains(".") | t.contains("/") | t.contains("_")
+    parts = F.flatten(F.transform(found, lambda t: F.when(joined(t), F.concat(F.array(t), F.split(t, TERM_PARTS))).otherwise(F.array(t))))
     return F.filter(parts, lambda t: ~t.isin(*STOPWORDS))
 
 

@@ -42,8 +42,8 @@ def _terms(x: str) -> str:
 
 @query(f"select doc_id, len({_terms('text')})::bigint as n_terms, md5(array_to_string({_terms('text')}, ' ')) as terms_md5 from documents")
 def tokenize_terms(spark, sf_dir):
-    terms = T.tokens(F.col("text"))
-    return data.read(spark, sf_dir, "documents").select("doc_id", F.size(terms).cast("bigint").alias("n_terms"), F.md5(F.array_join(terms, " ").cast("binary")).alias("terms_md5"))
+    found = data.read(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("terms"))
+    return found.select("doc_id", F.size("terms").cast("bigint").alias("n_terms"), F.md5(F.array_join("terms", " ").cast("binary")).alias("terms_md5"))
 
 
 @query(r"select doc_id, coalesce(list_sum(list_transform(regexp_extract_all(text, '[A-Za-z]+|\p{Nd}+|[^\p{L}\p{N}_\s]'), lambda t: greatest(1, ceil(len(t) / 3.2)))), 0)::bigint as cost from documents")
@@ -54,8 +54,8 @@ def token_cost(spark, sf_dir):
 @query(r"""with s as (select doc_id, list_filter(string_split_regex(regexp_replace(text, '([.!?;])\s+', '\1' || chr(1), 'g'), '\x01|\n+'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13)) <> '') as ss from documents)
 select doc_id, len(ss)::bigint as n_sentences, md5(array_to_string(ss, chr(10))) as sentences_md5 from s""")
 def sentence_split(spark, sf_dir):
-    s = T.sentences(F.col("text"))
-    return data.read(spark, sf_dir, "documents").select("doc_id", F.size(s).cast("bigint").alias("n_sentences"), F.md5(F.array_join(s, "\n").cast("binary")).alias("sentences_md5"))
+    found = data.read(spark, sf_dir, "documents").select("doc_id", T.sentences(F.col("text")).alias("s"))
+    return found.select("doc_id", F.size("s").cast("bigint").alias("n_sentences"), F.md5(F.array_join("s", "\n").cast("binary")).alias("sentences_md5"))
 
 
 @query(f"with {_LINES} select doc_id, line_no::int as line_no, regexp_replace(lower(trim(line, ' ' || chr(9) || chr(13))), '[0-9]+', '#', 'g') as signature from lines")
