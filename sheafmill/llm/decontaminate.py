@@ -41,9 +41,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 K1, B = 1.2, 0.75
 #: Postings of a block; passages that are searched at once; rows of documents handled at once.
-BLOCK, PASSAGES, ROWS = 64, 1024, 128
+BLOCK, PASSAGES, ROWS = 64, 1024, 512
 #: What scores may be off by, as sums of floating-point numbers.
 SLACK = 1e-9
+#: What sums of largest impacts, of single precision, may be off by: these only say what is scored.
+ROUNDING = 1e-4
 _word = re.compile(r"\w+").findall
 _sentence = re.compile(r"(?<=[.!?])\s+")
 
@@ -121,7 +123,7 @@ class Index:
         #: Postings lie one list after another; a key is term * (n + 1) + item, so keys are in order throughout.
         self.start = np.cumsum(lengths) - lengths
         self.stop = self.start + lengths
-        self.item = np.array([i for x in postings for i, _ in x], np.int64)
+        self.item = np.array([i for x in postings for i, _ in x], np.int32)
         self.impact = np.array([v for x in postings for _, v in x], np.float64)
         self.key = np.repeat(np.arange(terms), lengths) * (n + 1) + self.item
         #: Each list's blocks: where the first is, how many, their largest impacts, and the keys of their last items.
@@ -130,10 +132,11 @@ class Index:
         heads = np.repeat(self.start, self.blocks) + BLOCK * (np.arange(int(self.blocks.sum())) - np.repeat(self.first_block, self.blocks))
         self.block_most = np.maximum.reduceat(self.impact, heads) if len(heads) else np.zeros(0)
         self.block_key = self.key[np.minimum(heads + BLOCK, np.repeat(self.stop, self.blocks)) - 1] if len(heads) else np.zeros(0, np.int64)
-        self.most = np.zeros(terms)
+        self.most, self.last = np.zeros(terms), np.full(terms, -1, np.int32)
         if len(self.impact):
             some = np.flatnonzero(lengths)
             self.most[some] = np.maximum.reduceat(self.impact, self.start[some])
+            self.last[some] = self.item[self.stop[some] - 1]
 
     def term_ids(self, tokens: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, tokens, repeat(-1)), np.int64, len(tokens))
@@ -145,66 +148,76 @@ class Index:
         items that were scored and the blocks' ends that were skipped to.
         """
         none, least = len(self.ids), threshold - SLACK
+        bound = np.float32(least - ROUNDING)  # of sums of single precision
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         heads = np.flatnonzero(np.r_[True, which[1:] != which[:-1]]) if len(which) else np.zeros(0, np.int64)
         # Without enough weight in all lists together there is no first pivot.
         enough = np.add.reduceat(self.most[terms], heads) >= least if len(heads) else np.zeros(0, bool)
         begin, sizes = heads[enough], np.diff(np.r_[heads, len(which)])[enough]
+        alike = np.argsort(sizes, kind="stable")  # rows of one block of arrays have about as many terms
+        begin, sizes = begin[alike], sizes[alike]
         for low in range(0, len(begin), PASSAGES):
             n = sizes[low : low + PASSAGES]
-            width = np.arange(int(n.max()))[None, :]
+            width = np.arange(int(n[-1]))[None, :]
             filled = width < n[:, None]
             term = np.where(filled, terms[np.where(filled, begin[low : low + PASSAGES, None] + width, 0)], len(self.most) - 1)
-            place, weight = self.start[term], self.most[term]
+            place, weight = self.start[term], self.most[term].astype(np.float32)
             item = np.where(place < self.stop[term], self.item[np.minimum(place, len(self.item) - 1)], none)
             rows = which[begin[low : low + PASSAGES]]
-            bits = max(1, int(n.max()) - 1).bit_length()
+            bits = max(1, int(n[-1]) - 1).bit_length()
             kind = np.int32 if none << bits < 1 << 31 else np.int64
-            item, width = item.astype(kind), width.astype(kind)
+            item, width, term, place = item.astype(kind), width.astype(kind), term.astype(np.int32), place.astype(np.int32)
+            packed = len(rows)
             while len(rows):
                 # Cursors in the order of their items, as the item and the cursor's column in one number.
                 order = np.sort(item << bits | width, axis=1)
-                reached = np.cumsum(np.take_along_axis(weight, order & (1 << bits) - 1, 1), axis=1) >= least
-                pivot = np.take_along_axis(order, reached.argmax(axis=1)[:, None], 1)[:, 0] >> bits
+                columns = order & (1 << bits) - 1
+                reached = np.cumsum(np.take_along_axis(weight, columns, 1), axis=1) >= bound
+                pivot = order[np.arange(len(rows)), reached.argmax(axis=1)] >> bits
                 alive = reached[:, -1] & (pivot < none)
-                if not alive.all():
+                if 2 * int(alive.sum()) < packed:  # the columns anew, without lists that are through
+                    packed = int(alive.sum())
+                    keep = columns[alive][:, : int((item[alive] < none).sum(axis=1).max(initial=0))]
+                    item, term, place, weight = (np.take_along_axis(x[alive], keep, 1) for x in (item, term, place, weight))
+                    pivot, rows, width = pivot[alive], rows[alive], width[:, : keep.shape[1]]
+                elif not alive.all():
                     item, term, place, weight, pivot, rows = (x[alive] for x in (item, term, place, weight, pivot, rows))
-                    if not len(rows):
-                        break
+                if not len(rows):
+                    break
                 inside = item <= pivot[:, None]
-                r, c = np.nonzero(inside)
-                t, d, p = term[r, c], pivot[r], place[r, c]
-                # The block of each list in which the pivot would be, if the list goes on that far.
-                block = self.first_block[t]
-                many = self.blocks[t] > 1
-                if many.any():
-                    block[many] = np.searchsorted(self.block_key, t[many] * (none + 1) + d[many])
-                in_list = block < self.first_block[t] + self.blocks[t]
-                block = np.where(in_list, block, 0)
-                ends = self.block_key[block] - t * (none + 1)
-                in_list &= ends >= d
                 each = inside.sum(axis=1)  # a row has its pivot at least
                 starts = np.cumsum(each) - each
-                near = np.add.reduceat(np.where(in_list, self.block_most[block], 0.0), starts)
-                scored = near >= least
+                at = np.flatnonzero(inside)
+                t, p, now = term.ravel()[at], place.ravel()[at], item.ravel()[at]
+                d = np.repeat(pivot, each)
+                # The block of each list in which the pivot would be, if the list goes on that far.
+                ends, most = self.last[t], weight.ravel()[at]
+                long = np.flatnonzero(self.blocks[t] > 1)
+                if len(long):
+                    block = np.searchsorted(self.block_key, t[long].astype(np.int64) * (none + 1) + d[long])
+                    inner = block < self.first_block[t[long]] + self.blocks[t[long]]
+                    block = np.where(inner, block, 0)
+                    ends[long] = np.where(inner, self.block_key[block] - t[long].astype(np.int64) * (none + 1), -1)
+                    most[long] = self.block_most[block]
+                in_list = ends >= d
+                scored = np.add.reduceat(np.where(in_list, most, np.float32(0)), starts) >= bound
                 # Where to go on: after the pivot, or after the nearest end of a block if no item before it can do.
                 reach = np.minimum(np.minimum.reduceat(np.where(in_list, ends + 1, none), starts), np.where(inside, none, item).min(axis=1))
                 target = np.where(scored, pivot + 1, np.maximum(reach, pivot + 1))
-                to = target[r]
-                # A list's last posting needs no search.
-                last = self.stop[t] - p == 1
-                moved = np.where(self.item[p] < to, p + 1, p)
-                moved[~last] = np.searchsorted(self.key, t[~last] * (none + 1) + to[~last])
-                before = moved - 1
-                hit = scored[r] & (before >= self.start[t]) & (self.item[np.maximum(before, 0)] == d)
-                score = np.add.reduceat(np.where(hit, self.impact[before], 0.0), starts)
+                to = np.repeat(target, each)
+                # The next posting often is far enough; a list is searched where it isn't.
+                stop, moved = self.stop[t], p + 1
+                moved[now >= to] -= 1
+                far = np.flatnonzero((moved < stop) & (self.item[np.minimum(moved, len(self.item) - 1)] < to))
+                moved[far] = np.searchsorted(self.key, t[far].astype(np.int64) * (none + 1) + to[far])
+                hit = np.repeat(scored, each) & (self.item[moved - 1] == d) & (moved > p)
+                score = np.add.reduceat(np.where(hit, self.impact[moved - 1], 0.0), starts)
                 found = np.flatnonzero(scored & (score >= least))
-                out.append((rows[found], pivot[found], score[found]))
+                out.append((rows[found], pivot[found].astype(np.int64), score[found]))
                 if seen is not None:
                     seen.update(scored=int(scored.sum()), skipped=int((~scored).sum()))
-                more = moved < self.stop[t]
-                place[r, c] = moved
-                item[r, c] = np.where(more, self.item[np.where(more, moved, 0)], none)
+                place.ravel()[at] = moved
+                item.ravel()[at] = np.where(moved < stop, self.item[np.minimum(moved, len(self.item) - 1)], none)
         return tuple(np.concatenate([x[k] for x in out]) for k in range(3))
 
     def passages(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -221,8 +234,11 @@ class Index:
         passage = first[text] + (known - begin[text]) // step
         # A word is in the passage that begins before it and in the one before that.
         back = passage > first[text]
-        pairs = np.unique(np.concatenate([passage, passage[back] - 1]) * n_terms + np.concatenate([ids[known], ids[known][back]]))
-        return pairs // n_terms, pairs % n_terms, owner, (np.arange(len(owner)) - first[owner]) * step
+        pairs = np.concatenate([passage, passage[back] - 1]) * n_terms + np.concatenate([ids[known], ids[known][back]])
+        pairs.sort()
+        pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
+        passage = pairs // n_terms
+        return passage, pairs - passage * n_terms, owner, (np.arange(len(owner)) - first[owner]) * step
 
     def hits(self, texts: list[str | None], threshold: float, overlap: float) -> list[list[dict]]:
         """Verified items of each text, each once, by its best passage, the first of equals."""
