@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from ..functions import text as T
 
@@ -122,7 +122,7 @@ def _texts(column: pa.Array) -> list[str]:
 
 def vectors(texts: DataFrame, key: str = "chunk_id", text: str = "text", make: Callable[[], Encoder] = hashed) -> DataFrame:
     """(key, embedding): the vector of each text; a null one is empty."""
-    kind = StructType([texts.schema[key]]).add("embedding", "array<double>")
+    kind = StructType([texts.schema[key], StructField("embedding", ArrayType(DoubleType()))])
     arrow = pa.schema([(key, to_arrow_type(texts.schema[key].dataType)), ("embedding", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

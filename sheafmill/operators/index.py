@@ -36,7 +36,7 @@ class Lexical:
 
 def lexical(chunks: DataFrame, text: str = "text") -> Lexical:
     """Counts are aggregated before the shuffle; a chunk without terms still counts for the mean length."""
-    bags = chunks.select("chunk_id", tokens(F.col(text)).alias("terms")).withColumn("length", F.size("terms").cast("bigint"))
+    bags = chunks.select("chunk_id", tokens(F.col(text)).alias("terms")).withColumn("length", F.coalesce(F.size("terms"), F.lit(0)).cast("bigint"))
     postings = bags.select("chunk_id", "length", F.explode("terms").alias("term")).groupBy("term", "chunk_id", "length").agg(F.count(F.lit(1)).alias("tf"))
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     corpus = bags.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg_length"))

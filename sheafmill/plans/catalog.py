@@ -119,11 +119,16 @@ def parse_date(spark, sf_dir):
     return data.read(spark, sf_dir, "orders").select("o_orderkey", day["iso"].alias("iso"), day["flag"].alias("flag"))
 
 
-@query("select doc_id, position(trim(regexp_replace(lower(substr(text, 11, 40)), '[^a-z0-9@+.]+', ' ', 'g')) in trim(regexp_replace(lower(text), '[^a-z0-9@+.]+', ' ', 'g'))) > 0 as grounded, length(text) < 3 as invented from documents")
+_GROUND = "trim(regexp_replace(lower({}), '[^a-z0-9@+.]+', ' ', 'g'))"
+
+
+@query(f"with v as (select doc_id, text, case when doc_id % 3 = 0 then 'zq' || substr(text, 11, 40) when doc_id % 3 = 1 then substr(text, 11, 40) else substr(text, 51, 20) || substr(text, 11, 20) end as value from documents) select doc_id, coalesce(value = '' or position({_GROUND.format('value')} in {_GROUND.format('text')}) > 0, false) as grounded from v")
 def grounded_filter(spark, sf_dir):
+    """Values that were cut out of a text, that have something before them, or two parts the wrong way round."""
     d = data.read(spark, sf_dir, "documents")
-    value = F.substring("text", 11, 40)
-    return d.select("doc_id", F.coalesce(T.grounded(value, F.col("text")), F.lit(False)).alias("grounded"), (F.length("text") < 3).alias("invented"))
+    part, m = lambda at, n: F.substring("text", at, n), F.pmod("doc_id", F.lit(3))
+    value = F.when(m == 0, F.concat(F.lit("zq"), part(11, 40))).when(m == 1, part(11, 40)).otherwise(F.concat(part(51, 20), part(11, 20)))
+    return d.select("doc_id", F.coalesce(T.grounded(value, F.col("text")), F.lit(False)).alias("grounded"))
 
 
 # ---- index and retrieval --------------------------------------------------------

@@ -123,7 +123,7 @@ def test_a_file_pair_for_each_document(spark, tmp_path):
     assert any("Invented Ltd" in w for w in notes["warnings"])
     lines = (tmp_path / "pairs" / "good_extracted.txt").read_text().split("\n")
     heads = [x for x in lines if x.isupper() or re.fullmatch(r"[A-Z ]+ \(\d+\)", x)]
-    assert heads == ["STRUCTURED DOCUMENT EXTRACTION", "EXTRACTION SUMMARY", "DOCUMENT INFO", "EXTRACTION REPORT", "MASTER RECORDS (29)", "MONTHLY PERFORMANCE (0)", "VALUE GROUPS (0)", "DATA QUALITY FLAGS (0)", "FIELD NOTES (0)", "ANCILLARY TABLES (0)", "WARNINGS"] or heads[:-1] == ["STRUCTURED DOCUMENT EXTRACTION", "EXTRACTION SUMMARY", "DOCUMENT INFO", "EXTRACTION REPORT", "MASTER RECORDS (29)", "MONTHLY PERFORMANCE (0)", "VALUE GROUPS (0)", "DATA QUALITY FLAGS (0)", "FIELD NOTES (0)"]
+    assert heads[:11] == ["STRUCTURED DOCUMENT EXTRACTION", "EXTRACTION SUMMARY", "DOCUMENT INFO", "EXTRACTION REPORT", "MASTER RECORDS (29)", "MONTHLY PERFORMANCE (0)", "VALUE GROUPS (0)", "DATA QUALITY FLAGS (0)", "FIELD NOTES (0)", "ANCILLARY TABLES (0)", "WARNINGS"]
     assert "Master Records: 29" in lines and "Tables Found: 1" in lines and "Title: Not Found" in lines and "Ambiguous Dates: 0" in lines and "Duplicate Ids: Not Found" in lines
     assert sum(x.startswith("R-") and x.count(" | ") == 25 for x in lines) == 29
     # What was answered is kept: the same documents ask nothing.
