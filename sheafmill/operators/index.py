@@ -117,7 +117,7 @@ def dense_cosine(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     asked = [(r.query_id, r.q) for r in queries.select("query_id", "q").collect() if r.q]
     if len({len(q) for _, q in asked}) > 1:
         raise ValueError("the query vectors differ in size")
-    wanted = _unit(np.array([q for _, q in asked], float).reshape(len(asked), -1))
+    wanted = _unit(np.array([q for _, q in asked], float)) if asked else np.zeros((0, 0))
     ids = pa.array([i for i, _ in asked], to_arrow_type(queries.schema["query_id"].dataType))
     field = vectors.schema["chunk_id"]
     kind = StructType([queries.schema["query_id"], field, StructField("score", DoubleType())])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,7 @@ def get(spark: SparkSession, root: str | None, kind: str, schema: str) -> DataFr
     try:
         kept = spark.read.schema(schema).parquet(f"{root}/{kind}")
         kept.limit(1).count()  # a folder that isn't there, or files that can't be read, show here
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if "PATH_NOT_FOUND" not in str(error):
             _log.warning("the cache of %s can't be read: %s", kind, error)
         return spark.createDataFrame([], schema)
@@ -31,5 +32,5 @@ def put(found: DataFrame, root: str | None, kind: str) -> None:
     known = get(found.sparkSession, root, kind, ", ".join(f"{n} {t}" for n, t in found.dtypes))
     try:
         found.dropDuplicates(["key"]).join(known.select("key"), "key", "left_anti").select(*found.columns).write.mode("append").parquet(f"{root}/{kind}")
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         _log.warning("the cache of %s can't be written: %s", kind, error)
