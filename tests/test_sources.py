@@ -64,6 +64,12 @@ def test_word_caption_heading_and_split_table():
     assert out[0]["is_heading"] and out[1]["section"] == "Results"
 
 
+def test_a_merged_column_is_filled_as_far_as_there_are_rows():
+    cells = grid([["Key", "Value"], ["a", "1"], ["", "2"], ["", "3"]])
+    out = excel.parse("/x/b.xlsx", workbook({"S": (cells, ["A2:A1048576"])}))
+    assert [e["rows"] for e in out if e["element_type"] == "table"] == [[["a", "1"], ["a", "2"], ["a", "3"]]]
+
+
 def write(folder):
     (folder / "good.xlsx").write_bytes(workbook({"Sales": (grid([["ID", "Date", "Status", "Amount", "Owner"], *[[f"R-{i}", "2026-01-0%d" % (i % 9 + 1), "Open", 5 * i, "Ari"] for i in range(1, 30)]]), [])}))
     (folder / "notes.docx").write_bytes(document([("h", "Field notes"), ("p", "3 May | North | pump ok"), ("p", "4 May | South | valve loose"), ("p", "5 May | East | all quiet"), ("h", "About"), ("p", "Prepared by Ada Lovelace, Analytical Society. Contact ada@example.org")]))
