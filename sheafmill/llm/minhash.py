@@ -50,6 +50,8 @@ BATCH = 20
 MARKS_BLOCK, TEXTS_BLOCK, BYTES_BLOCK = 4096, 512, 1 << 22
 #: Pairs to verify, and members of buckets to compare, of a task.
 TASK_PAIRS, TASK_MEMBERS = 2000, 4000
+#: Parts of a bucket in joins on it.
+SALTS = 16
 #: Words of more bytes are hashed one by one: sums of powers modulo 2^64 have known collisions there.
 LONG_WORD = 64
 
@@ -349,6 +351,13 @@ def _verify(kind: str, id_type: pa.DataType, width: int, threshold: int):
     return run, f"a {kind}, b {kind}"
 
 
+def _with_buckets(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Members joined to a table of some buckets. That is repeated for SALTS parts, so that a large bucket's members go to as many tasks."""
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    parts = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(parts, ["band", "key", "salt"]).drop("salt")
+
+
 def _dealt(members: DataFrame, *more: str) -> DataFrame:
     """Members of buckets of so many ``blocks``, once for each pair of blocks that they belong to, in groups by pair."""
     blocked = members.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), "blocks").cast("int"))
@@ -397,7 +406,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
     larger = members.where("members > 2").select("band", "key", "doc_id")
     labelled = frozen(larger.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "labelled")
     mixed = labelled.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key", F.ceil(F.col("members") / MARKS_BLOCK).cast("int").alias("blocks"))
-    rest = frozen(labelled.join(mixed, ["band", "key"]), "mixed")
+    rest = frozen(_with_buckets(labelled, mixed), "mixed")
     n = rest.count()
     if n:
         run, schema = _marked_blocks(name, id_type, floors, threshold)
@@ -407,7 +416,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80, id_col
         near = rest.drop("blocks").join(open_members, ["band", "key", "doc_id"]).join(heads, "doc_id").join(texts, "doc_id")
         blocks = open_members.join(texts.select("doc_id", F.octet_length("text").alias("size")), "doc_id").groupBy("band", "key").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TEXTS_BLOCK, F.sum("size") / BYTES_BLOCK)).cast("int").alias("blocks"))
         run, schema = _link_blocks(name, id_type, floors, threshold, width)
-        more = frozen(in_tasks(_dealt(near.join(blocks, ["band", "key"]), "text"), n, TASK_MEMBERS).mapInArrow(run, schema), "more")
+        more = frozen(in_tasks(_dealt(_with_buckets(near, blocks), "text"), n, TASK_MEMBERS).mapInArrow(run, schema), "more")
         if not more.isEmpty():
             found = frozen(components(links.union(verified(more.distinct(), n))), "components")
 
