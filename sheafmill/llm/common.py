@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -61,6 +63,19 @@ def frozen(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Drop the shuffle files of jobs whose results are written down.
+
+    Spark removes them once the driver has collected its references to them, which it otherwise
+    does when its heap is full, however full the executors' disks are. What listeners still hold of
+    a job that has just ended goes with a second collection.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
