@@ -19,11 +19,13 @@ along by :func:`rewrite` whatever they are called.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from .common import fresh_path, frozen
+from .common import fresh_path, frozen, input_partitions
 
 #: Bytes that a row has besides its text.
 ROW_BYTES = 16
@@ -87,7 +89,7 @@ def plan_moves(sizes: dict[int, int], capacities: list[int]) -> list[tuple[int,
 
 
 def _blocked(docs: DataFrame, id_col: str, text_col: str, old_shard: Column | None) -> DataFrame:
-    """``docs`` as a struct ``row``, with old shard, block, and what orders a block's rows."""
+    """``docs`` as a struct ``row``, with old shard, block, the block's number among all, and what orders its rows."""
     spark = docs.sparkSession
     name = F.input_file_name() if old_shard is None else old_shard.cast("int")
     text = F.col(text_col)
@@ -95,14 +97,16 @@ def _blocked(docs: DataFrame, id_col: str, text_col: str, old_shard: Column | No
         name.alias("name"), F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("long")).alias("crc"), row_size(text).alias("size"), F.xxhash64(F.col(id_col), text).alias("tie"),
     )
     counts = sorted((r[0], r[1]) for r in docs.select(name.alias("name")).groupBy("name").count().collect())
-    known = [(x, i if old_shard is None else x, -(-n // BLOCK_ROWS)) for i, (x, n) in enumerate(counts)]
-    # A row for each old shard; the optimiser knows its size.
-    names = spark.createDataFrame(known, f"name {'string' if old_shard is None else 'int'}, old_shard int, blocks int")
-    return rows.join(names, "name").withColumn("block", F.pmod("tie", "blocks").cast("int")).drop("name", "blocks")
+    blocks = [-(-n // BLOCK_ROWS) for _, n in counts]
+    known = [(x, i if old_shard is None else x, n, before - n) for i, ((x, _), n, before) in enumerate(zip(counts, blocks, accumulate(blocks), strict=True))]
+    # A row for each old shard, of which the driver has the list: broadcast, so that no text is dealt by its shard.
+    names = spark.createDataFrame(known, f"name {'string' if old_shard is None else 'int'}, old_shard int, blocks int, first int")
+    out = rows.join(F.broadcast(names), "name").withColumn("block", F.pmod("tie", "blocks").cast("int"))
+    return out.withColumn("number", F.col("first") + F.col("block")).drop("name", "blocks", "first")
 
 
-def plan(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", old_shard: Column | None = None, capacities: list[int] | None = None) -> tuple[DataFrame, set[int]]:
-    """Where the rows go: for each block its parts (first row, shard, slot of that row); and the shards that change.
+def plan(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", old_shard: Column | None = None, capacities: list[int] | None = None) -> tuple[DataFrame, set[int], set[int]]:
+    """Where the rows go: for each block its parts (first row, shard, slot of that row); the shards that change, and those that stay.
 
     ``old_shard`` is an integer column, by default the input file's place among the files.
     """
@@ -117,23 +121,24 @@ def plan(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "
     # From here on tables have a row or two for each block.
     base = totals.select("old_shard", "block", (F.sum("bytes").over(Window.partitionBy("old_shard").orderBy("block")) - F.col("bytes")).alias("base"))
     ranges = spark.createDataFrame(moves, "old_shard int, first long, end long, shard int").groupBy("old_shard").agg(F.sort_array(F.collect_list(F.struct("first", "end", "shard"))).alias("ranges"))
-    placed = rows.join(base.join(ranges, "old_shard"), ["old_shard", "block"])
+    placed = rows.join(base.join(F.broadcast(ranges), "old_shard"), ["old_shard", "block"])
     at = F.col("base") + F.col("inner")
     placed = placed.withColumn("range", F.element_at(F.filter("ranges", lambda r: r["first"] <= at), -1))
     parts = placed.groupBy("old_shard", "block", F.col("range.shard").alias("shard"), F.col("range.first").alias("first")).agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("low"))
     lead = F.sum("n").over(Window.partitionBy("shard").orderBy("old_shard", "first", "block")) - F.col("n")
     out = parts.withColumn("lead", lead).groupBy("old_shard", "block").agg(F.sort_array(F.collect_list(F.struct("low", "shard", "lead"))).alias("parts"))
     changed = {k for i, _, _, j in moves if i != j for k in (i, j)}
-    return frozen(out, "parts"), changed | {j for j in range(shards) if j not in sizes}
+    return frozen(out, "parts"), changed | {j for j in range(shards) if j not in sizes}, set(sizes) - changed
 
 
-def _settled(docs: DataFrame, parts: DataFrame, id_col: str, text_col: str, old_shard: Column | None, tasks: int) -> DataFrame:
-    """row, old shard, shard and slot of the rows of the blocks in ``parts``; blocks are dealt to tasks by their number."""
-    rows = _blocked(docs, id_col, text_col, old_shard).join(parts, ["old_shard", "block"])
-    order = Window.partitionBy("old_shard", "block").orderBy("id", "crc", "tie")
-    nth = rows.repartition(tasks, "old_shard", "block").withColumn("nth", F.row_number().over(order))
+def _settled(docs: DataFrame, parts: DataFrame, of: set[int], id_col: str, text_col: str, old_shard: Column | None, tasks: int) -> DataFrame:
+    """row, shard and slot of the rows of some old shards; blocks are dealt to tasks in turn, which is the only shuffle of texts."""
+    some = F.col("old_shard").isin(*of) if of else F.lit(False)
+    rows = _blocked(docs, id_col, text_col, old_shard).where(some).repartitionById(tasks, "number")
+    order = Window.partitionBy("number").orderBy("id", "crc", "tie")
+    nth = rows.withColumn("nth", F.row_number().over(order)).join(parts.where(some), ["old_shard", "block"])
     part = F.element_at(F.filter("parts", lambda x: x["low"] <= F.col("nth")), -1)
-    return nth.select("row", "old_shard", part.alias("part"), "nth").select("row", "old_shard", F.col("part.shard").alias("shard"), (F.col("part.lead") + F.col("nth") - F.col("part.low")).cast("long").alias("slot"))
+    return nth.select("row", part.alias("part"), "nth").select("row", (F.col("part.lead") + F.col("nth") - F.col("part.low")).cast("long").alias("slot"), F.col("part.shard").alias("shard"))
 
 
 def rewrite(docs: DataFrame, shards: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", old_shard: Column | None = None, capacities: list[int] | None = None) -> tuple[DataFrame, str, set[int]]:
@@ -142,15 +147,15 @@ def rewrite(docs: DataFrame, shards: int, path: str | None = None, id_col: str =
     They are folders ``shard=N`` with columns ``row`` and ``slot``. A shard whose rows all stay and
     that gets none keeps its old file: its rows are read from there.
     """
-    parts, changed = plan(docs, shards, id_col, text_col, old_shard, capacities)
+    parts, changed, stay = plan(docs, shards, id_col, text_col, old_shard, capacities)
     target = path or fresh_path(docs.sparkSession, "shards")
-    affected = F.col("old_shard").isin(*changed) if changed else F.lit(False)
+    tasks = max(shards, 2 * input_partitions(docs))
     # What leaves or enters a changed shard is in blocks of old shards that change.
-    tasks = max(shards, 2 * docs.rdd.getNumPartitions())
-    moved = _settled(docs, parts.where(affected), id_col, text_col, old_shard, tasks)
-    moved.drop("old_shard").write.partitionBy("shard").parquet(target)
-    kept = _settled(docs, parts.where(~affected), id_col, text_col, old_shard, tasks).select("row", "slot", "shard")
-    return read_shards(docs, target).unionByName(kept), target, changed
+    _settled(docs, parts, changed, id_col, text_col, old_shard, tasks).write.partitionBy("shard").parquet(target)
+    out = read_shards(docs, target)
+    if stay:
+        out = out.unionByName(_settled(docs, parts, stay, id_col, text_col, old_shard, tasks))
+    return out, target, changed
 
 
 def read_shards(docs: DataFrame, path: str) -> DataFrame:
