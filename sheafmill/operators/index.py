@@ -47,13 +47,19 @@ def idf(n: Column, df: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
+def asked_terms(queries: DataFrame) -> list[str]:
+    """The distinct terms of a stated set of queries: a literal list, which filters rows where they are read."""
+    return sorted(r.term for r in queries.select(F.explode(tokens(F.col("query"))).alias("term")).distinct().collect())
+
+
 def bm25(index: Lexical, queries: DataFrame) -> DataFrame:
     """(query_id, chunk_id, score) for ``queries`` (query_id, query); a query's repeated terms count once."""
+    terms = asked_terms(queries)
     asked = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
     n, mean = index.corpus.select("n").scalar(), F.coalesce(F.nullif(index.corpus.select("avg_length").scalar(), F.lit(0.0)), F.lit(1.0))
-    # Only the asked terms' postings take part: the asked side is small and the optimiser sees its size.
-    matched = index.postings.join(asked, "term")
-    frequencies = index.terms.join(asked.select("term").distinct(), "term", "left_semi")
+    # Only the asked terms' postings take part.
+    matched = index.postings.where(F.col("term").isin(terms)).join(asked, "term")
+    frequencies = index.terms.where(F.col("term").isin(terms))
     weight = idf(n, F.col("df")) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
     return matched.join(frequencies, "term").groupBy("query_id", "chunk_id").agg(F.sum(weight).alias("score"))
 
@@ -61,13 +67,14 @@ def bm25(index: Lexical, queries: DataFrame) -> DataFrame:
 def matches(chunks: DataFrame, queries: DataFrame, text: str = "text") -> DataFrame:
     """(chunk_id, length, term, tf) of the asked terms, and a row of the empty term for each chunk, written down.
 
-    The chunks' terms are found once and meet the asked ones where they lie; of the others only
-    their number is kept, so what is shuffled are hits.
+    The chunks' terms are found once and the asked ones kept where they lie; of the others only
+    their number is, so what is shuffled are hits.
     """
-    asked = queries.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), tokens(F.col("query"))))).alias("term")).distinct()
-    bags = chunks.select("chunk_id", tokens(F.col(text)).alias("terms"))
-    every = bags.select("chunk_id", F.coalesce(F.size("terms"), F.lit(0)).cast("bigint").alias("length"), F.explode(F.concat(F.array(F.lit("")), F.coalesce("terms", F.array().cast("array<string>")))).alias("term"))
-    return settled(every.join(asked, "term").groupBy("chunk_id", "length", "term").agg(F.count(F.lit(1)).alias("tf")), "matches")
+    terms = asked_terms(queries)
+    bags = chunks.select("chunk_id", F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("terms"))
+    kept = F.filter("terms", lambda t: t.isin(terms)) if terms else F.array().cast("array<string>")
+    every = bags.select("chunk_id", F.size("terms").cast("bigint").alias("length"), F.explode(F.concat(F.array(F.lit("")), kept)).alias("term"))
+    return settled(every.groupBy("chunk_id", "length", "term").agg(F.count(F.lit(1)).alias("tf")), "matches")
 
 
 def bm25_search(chunks: DataFrame, queries: DataFrame, text: str = "text") -> DataFrame:
