@@ -357,7 +357,8 @@ fits as (select doc_id, min(k) as k from (select q.doc_id, q.k, max(g) + 1 as m
 select doc_id, g::int as group_no, min(i)::bigint - 1 as first, max(i)::bigint - 1 as last from (select q.doc_id, q.i, q.g from q join fits using (doc_id, k) union all select p.doc_id, p.i, p.g from p where not exists (select 1 from fits f where f.doc_id = p.doc_id)) group by doc_id, g""")
 def balanced_pack(spark, sf_dir):
     packed = chunk.balanced(_line_costs(spark, sf_dir), "costs", F.lit(400), "groups")
-    rows = packed.select("doc_id", F.posexplode("groups").alias("i", "group_no"))
+    # A null text is one group of one item, as in the SQL.
+    rows = packed.select("doc_id", F.posexplode(F.coalesce("groups", F.array(F.lit(0)))).alias("i", "group_no"))
     return rows.groupBy("doc_id", "group_no").agg(F.min("i").cast("bigint").alias("first"), F.max("i").cast("bigint").alias("last"))
 
 

@@ -1,6 +1,8 @@
 """Each query with SQL gives the same rows at the smallest size."""
 
 import os
+import random
+import time
 
 import duckdb
 import pytest
@@ -66,6 +68,18 @@ def evened(costs, limit):
     return plain
 
 
+def test_balanced_pack_of_many_lines(spark, tmp_path):
+    """Each packing is worked out once, in time that grows with the lines; a null text is a group, as in the SQL."""
+    rng = random.Random(3)
+    texts = {i: "\n".join("x" * rng.choice((0, 3, 40, 90, 390, 500)) for _ in range(rng.choice((1, 5, 800)))) for i in range(60)} | {60: None, 61: "", 62: "\n" * 5000}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    began = time.perf_counter()
+    got = plain(catalog.balanced_pack(spark, str(tmp_path)).select("doc_id", "group_no", "first", "last").collect())
+    assert time.perf_counter() - began < 30
+    want = [(i, k, g[0], g[-1]) for i, t in texts.items() for k, g in enumerate([[0]] if t is None else evened([len(x) + 1 for x in t.split("\n")], 400))]
+    assert got == plain(want)
+
+
 def test_table_chunks_by_definition(spark, sf_dir):
     """Every chunk of every table, worked out row by row."""
     header, budget = "Table: Lines\nColumns: Line | Part | Supplier | Quantity | Flag | Ship Date", 120
